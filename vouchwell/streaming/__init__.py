@@ -1,0 +1 @@
+"""Empty on purpose: every input of the modelled pipeline is a table read whole."""
