@@ -41,6 +41,12 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle a file with fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def vendors(spark: SparkSession, folder: str) -> DataFrame:
     supplier = load(spark, folder, "supplier")
     nation = load(spark, folder, "nation")
@@ -63,7 +69,7 @@ def vendors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def invoices(spark: SparkSession, folder: str) -> DataFrame:
-    lines = load(spark, folder, "lineitem")
+    lines = _spread(load(spark, folder, "lineitem"), "l_orderkey")
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = load(spark, folder, "part").select("p_partkey", "p_name")
     price, lineno = F.col("l_extendedprice"), F.col("l_linenumber")
@@ -87,9 +93,7 @@ def invoices(spark: SparkSession, folder: str) -> DataFrame:
             ).alias("invoice_id"),
             _padded("V", F.col("l_suppkey"), 6).alias("vendor_id"),
             invoice_date.alias("invoice_date"),
-            (F.col("o_orderdate") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).alias(
-                "submission_timestamp"
-            ),
+            F.timestamp_add("SECOND", seconds.cast("int"), F.col("o_orderdate")).alias("submission_timestamp"),
             F.date_add(due, delay).alias("payment_date"),
             due.alias("due_date"),
             price.alias("amount"),
