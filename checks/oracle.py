@@ -449,5 +449,54 @@ def rule_oracles() -> dict[str, str]:
     return oracles
 
 
+NUMERIC = [
+    "amount", "unit_price", "discount", "tax_amount", "days_to_payment", "days_past_due", "invoice_year",
+    "invoice_month", "invoice_day", "invoice_weekday", *HISTORY_COLUMNS[:7], "previous_payment_delay",
+    *HISTORY_COLUMNS[9:], "days_since_previous_invoice", "vendor_amount_zscore", "amount_to_threshold_distance",
+    "submission_hour", "submission_day_of_week",
+]
+CATEGORICAL = [
+    "vendor_category", "bank_account_id", "currency", "payment_method", "invoice_status", "department",
+]
+CTES["modes"] = " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{c}' AS column_name, {c} AS value FROM mart_full WHERE {c} IS NOT NULL GROUP BY {c} "
+    f"ORDER BY count(*) DESC, {c} LIMIT 1)"
+    for c in CATEGORICAL
+)
+CTES["middles"] = (
+    "SELECT " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}" for c in NUMERIC) + " FROM mart_full"
+)
+CTES["filled"] = (
+    "SELECT invoice_id, "
+    + ", ".join(f"coalesce(CAST(m.{c} AS DOUBLE), d.{c}) AS {c}" for c in NUMERIC)
+    + " FROM mart_full m, middles d"
+)
+CTES["filled_stats"] = (
+    "SELECT "
+    + ", ".join(
+        f"avg({c}) AS avg_{c}, CASE WHEN min({c}) <> max({c}) THEN stddev_pop({c}) END AS dev_{c}" for c in NUMERIC
+    )
+    + " FROM filled"
+)
+
+
+def model_oracles() -> dict[str, str]:
+    fills = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {half_up(c, 4)} AS median, CAST(NULL AS VARCHAR) AS most_frequent FROM middles"
+        for c in NUMERIC
+    )
+    scaled = ", ".join(f"{half_up(f'coalesce(({c} - avg_{c}) / dev_{c}, 0)', 4)} AS {c}" for c in NUMERIC)
+    onehot = " UNION ALL ".join(
+        f"SELECT invoice_id, 'categorical__{c}_' || coalesce({c}, (SELECT value FROM modes WHERE column_name = '{c}'))"
+        " AS feature FROM mart_full"
+        for c in CATEGORICAL
+    )
+    return {
+        "impute_stats": with_ctes(f"{fills} UNION ALL SELECT column_name, NULL, value FROM modes"),
+        "encoded_numeric": with_ctes(f"SELECT invoice_id, {scaled} FROM filled, filled_stats"),
+        "encoded_onehot": with_ctes(onehot),
+    }
+
+
 def oracles() -> dict[str, str]:
-    return rule_oracles()
+    return rule_oracles() | model_oracles()

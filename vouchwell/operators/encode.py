@@ -74,14 +74,24 @@ class Encoder:
     scales: dict[str, float | None]
 
     def transform(self, mart: DataFrame) -> DataFrame:
-        """Impute all features and standardise the numeric ones; constant columns give 0."""
+        """Impute all features and standardise the numeric ones; constant columns give 0.
+
+        The unscaled amount stays available as ``invoice_amount``.
+        """
         filled = {c: F.coalesce(F.col(c), F.lit(self.fills.get(c))) for c in self.categorical}
         scaled = {}
         for c in self.numeric:
             value = F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c]))
             scale = self.scales[c]
             scaled[c] = (value - self.means[c]) / scale if scale else F.lit(0.0)
-        return mart.withColumns(filled | scaled)
+        return mart.withColumns(filled | scaled | {"invoice_amount": F.col("amount")})
+
+
+def fill_rows(mart: DataFrame, encoder: Encoder) -> DataFrame:
+    """(column_name, median, most_frequent): the value each column's gaps get."""
+    rows = [(c, encoder.fills[c], None) for c in encoder.numeric]
+    rows += [(c, None, encoder.fills.get(c)) for c in encoder.categorical]
+    return mart.sparkSession.createDataFrame(rows, "column_name string, median double, most_frequent string")
 
 
 def fit_encoder(mart: DataFrame, feature_set: str = "reference") -> Encoder:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from vouchwell.functions.scalar import round_half_up
 from vouchwell.operators import (
+    autoencoder,
     benford,
     duplicates,
+    encode,
     evaluate,
     features,
     history,
+    iforest,
     inject,
     quality,
     shell_vendor,
@@ -23,6 +26,7 @@ from vouchwell.operators import (
 )
 from vouchwell.plans import jobs
 from vouchwell.sources import star
+from vouchwell.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,5 +185,59 @@ def rule_queries() -> dict[str, Query]:
     }
 
 
+def _impute_stats(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    mart = materialize(jobs.feature_mart(invoices, vendors), "invoice_features")
+    return rounded(encode.fill_rows(mart, encode.fit_encoder(mart)), {"median": 4})
+
+
+def _encoded_numeric(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    data = jobs.prepared(invoices, vendors)
+    numeric = data.encoder.numeric
+    return rounded(data.encoded.select("invoice_id", *numeric), dict.fromkeys(numeric, 4))
+
+
+def _encoded_onehot(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    data = jobs.prepared(invoices, vendors)
+    return encode.onehot_rows(data.encoded, data.encoder, encode.fit_vectorizer(data.encoded, data.encoder))
+
+
+def _forest_report(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Class report of the isolation forest on invoices with injected duplicates."""
+    augmented, labels = inject.inject_duplicates(invoices, id_scheme="prefix")
+    predicted = jobs.isolation_forest(jobs.prepared(augmented, vendors))
+    return evaluate.class_report(evaluate.outcome_counts(evaluate.with_labels(predicted, labels)))
+
+
+def _autoencoder_history(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    rows, model = jobs.trained_autoencoder(jobs.prepared(invoices, vendors))
+    return model.history(rows.sparkSession)
+
+
+def _detector(job: Callable, then: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
+    return _both(lambda i, v: then(job(jobs.prepared(i, v))))
+
+
+def model_queries() -> dict[str, Query]:
+    return {
+        "impute_stats": _both(_impute_stats),
+        "encoded_numeric": _both(_encoded_numeric),
+        "encoded_onehot": _both(_encoded_onehot),
+        "iforest_predictions": _detector(jobs.isolation_forest),
+        "iforest_top": _detector(jobs.isolation_forest, iforest.most_suspicious),
+        "iforest_summary": _detector(jobs.isolation_forest, iforest.prediction_summary),
+        "iforest_class_report": _both(_forest_report),
+        "lof_predictions": _detector(jobs.local_outlier_factor),
+        "lof_top": _detector(jobs.local_outlier_factor, iforest.most_suspicious),
+        "autoencoder_history": _both(_autoencoder_history),
+        "autoencoder_predictions": _detector(jobs.autoencoder_predictions, lambda result: result[0]),
+        "autoencoder_top": _detector(
+            jobs.autoencoder_predictions, lambda result: autoencoder.most_suspicious(result[0])
+        ),
+        "error_histogram": _detector(
+            jobs.autoencoder_predictions, lambda result: autoencoder.error_histogram(*result)
+        ),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return rule_queries()
+    return rule_queries() | model_queries()

@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
 
-from vouchwell.operators import benford, duplicates, evaluate, features, inject, shell_vendor, staging, threshold, vote
+from pyspark.sql import DataFrame, SparkSession
+
+from vouchwell.operators import (
+    autoencoder,
+    benford,
+    duplicates,
+    encode,
+    evaluate,
+    features,
+    iforest,
+    inject,
+    lof,
+    shell_vendor,
+    staging,
+    threshold,
+    vote,
+)
+from vouchwell.sources import files
+from vouchwell.storage import materialize
 
 
 def feature_mart(invoices: DataFrame, vendors: DataFrame, **options) -> DataFrame:
     return features.invoice_features(staging.stg_invoices(invoices, vendors), **options)
 
 
+def save_mart(invoices: DataFrame, vendors: DataFrame, table: str = "invoice_features") -> None:
+    """Raw and staging layers as views, the mart as a table."""
+    staging.register_views(invoices, vendors)
+    feature_mart(invoices, vendors).write.mode("overwrite").saveAsTable(table)
+
+
 def rule_vote(invoices: DataFrame, vendors: DataFrame, flag_side: str = "first") -> DataFrame:
     """All four rules and their vote, in one lazy plan over the vendor-level flags."""
     return vote.vote(
@@ -28,3 +52,67 @@ def evaluated_vote(
     """Inject labelled near-duplicates, vote on everything, attach the labels."""
     augmented, labels = inject.inject_duplicates(invoices, **injection)
     return evaluate.with_labels(rule_vote(augmented, vendors, flag_side), labels)
+
+
+RULE_TABLES = ["benford_results", "threshold_results", "duplicate_results", "shell_vendor_results"]
+
+
+def save_rule_results(invoices: DataFrame, vendors: DataFrame, folder: str) -> None:
+    """One table per rule; the duplicate table is the pair report."""
+    results = [
+        benford.benford_rule(invoices),
+        threshold.threshold_rule(invoices),
+        duplicates.duplicate_pairs(invoices).drop("amount_gap"),
+        shell_vendor.shell_vendor_rule(vendors),
+    ]
+    for name, result in zip(RULE_TABLES, results):
+        files.write_table(result, f"{folder}/{name}")
+
+
+def vote_from_results(spark: SparkSession, invoices: DataFrame, folder: str) -> DataFrame:
+    """The vote over saved rule tables."""
+    return vote.vote(invoices, *[files.read_table(spark, f"{folder}/{name}") for name in RULE_TABLES])
+
+
+@dataclass
+class Prepared:
+    """A written, encoded mart and the encoder fitted on it."""
+
+    encoded: DataFrame
+    encoder: encode.Encoder
+
+
+def prepared(invoices: DataFrame, vendors: DataFrame, feature_set: str = "reference") -> Prepared:
+    mart = materialize(feature_mart(invoices, vendors), "invoice_features")
+    encoder = encode.fit_encoder(mart, feature_set)
+    return Prepared(materialize(encoder.transform(mart), "encoded_features"), encoder)
+
+
+def isolation_forest(data: Prepared) -> DataFrame:
+    return iforest.predictions(data.encoded, iforest.fit_forest(data.encoded, data.encoder))
+
+
+def local_outlier_factor(data: Prepared) -> DataFrame:
+    return lof.predictions(data.encoded, data.encoder)
+
+
+def trained_autoencoder(data: Prepared) -> tuple[DataFrame, autoencoder.Autoencoder]:
+    vectorizer = encode.fit_vectorizer(data.encoded, data.encoder)
+    rows, width = autoencoder.inputs(data.encoded, data.encoder, vectorizer)
+    rows = materialize(rows, "autoencoder_inputs")
+    return rows, autoencoder.train(autoencoder.sharded(rows), width)
+
+
+def autoencoder_predictions(data: Prepared) -> tuple[DataFrame, float]:
+    rows, model = trained_autoencoder(data)
+    return autoencoder.predictions(rows, model)
+
+
+def save_autoencoder_results(data: Prepared, folder: str) -> None:
+    """Predictions with their errors, the threshold, and the training history."""
+    rows, model = trained_autoencoder(data)
+    predicted, limit = autoencoder.predictions(rows, model)
+    spark = rows.sparkSession
+    files.write_table(predicted, f"{folder}/autoencoder_predictions")
+    files.write_table(spark.createDataFrame([(limit,)], "threshold double"), f"{folder}/threshold")
+    files.write_table(model.history(spark), f"{folder}/training_history")
