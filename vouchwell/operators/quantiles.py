@@ -41,22 +41,27 @@ def exact_quantiles(
     return found
 
 
+def _edges(p: float, n: int) -> list[float]:
+    """Sketch positions safely around rank p * (n - 1), at least two rows to each side."""
+    margin = BRACKET + 2.0 / n
+    return [max(p - margin, 0.0), min(p + margin, 1.0)]
+
+
 def _first_brackets(values: DataFrame, columns: list[str], probabilities: list[float]):
-    edges = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-BRACKET, BRACKET)]
+    sizes = values.agg(*[F.count(c).alias(c) for c in columns]).first()
+    filled = [c for c in columns if sizes[c]]
+    if not filled:
+        return {}, {}
     sketches = [
-        F.struct(
-            F.count(c).alias("n"), F.percentile_approx(c, edges, SKETCH_ACCURACY).alias("edges")
-        ).alias(c)
-        for c in columns
+        F.percentile_approx(c, [e for p in probabilities for e in _edges(p, sizes[c])], SKETCH_ACCURACY).alias(c)
+        for c in filled
     ]
     row = values.agg(*sketches).first()
     brackets, ranks = {}, {}
-    for c in columns:
-        if not row[c]["n"]:
-            continue
+    for c in filled:
         for i, p in enumerate(probabilities):
-            brackets[c, p] = (row[c]["edges"][2 * i], row[c]["edges"][2 * i + 1])
-            ranks[c, p] = p * (row[c]["n"] - 1)
+            brackets[c, p] = (row[c][2 * i], row[c][2 * i + 1])
+            ranks[c, p] = p * (sizes[c] - 1)
     return brackets, ranks
 
 
@@ -91,10 +96,10 @@ def _narrower(values: DataFrame, targets: list, brackets: dict, ranks: dict) ->
     ).first()
     edges = []
     for k, t in enumerate(targets):
-        p = (ranks[t] - sizes[k]["below"]) / max(sizes[k]["inside"] - 1, 1)
-        around = [min(max(p + d, 0.0), 1.0) for d in (-BRACKET, BRACKET)]
+        n = sizes[k]["inside"]
+        p = (ranks[t] - sizes[k]["below"]) / max(n - 1, 1)
         inside = F.when(F.col(t[0]).between(*brackets[t]), F.col(t[0]))
-        edges.append(F.percentile_approx(inside, around, SKETCH_ACCURACY).alias(str(k)))
+        edges.append(F.percentile_approx(inside, _edges(p, n), SKETCH_ACCURACY).alias(str(k)))
     row = values.agg(*edges).first()
     return {t: tuple(row[k]) for k, t in enumerate(targets)}
 
@@ -102,7 +107,7 @@ def _narrower(values: DataFrame, targets: list, brackets: dict, ranks: dict) ->
 def _interpolated(sorted_values: list[tuple[float, int]], below: int, rank: float) -> float:
     low, high = math.floor(rank), math.ceil(rank)
     reached, a = below, None
-    for value, n in sorted_values:
+    for value, n in sorted_values if below <= low else []:
         reached += n
         if a is None and low < reached:
             a = value
