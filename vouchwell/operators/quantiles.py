@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 1000
 BRACKET = 4 / SKETCH_ACCURACY
 MAX_VALUES = 500_000
 

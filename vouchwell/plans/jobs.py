@@ -76,7 +76,7 @@ def vote_from_results(spark: SparkSession, invoices: DataFrame, folder: str) ->
 
 @dataclass
 class Prepared:
-    """A written, encoded mart and the encoder fitted on it."""
+    """The encoded view of a written mart, and the encoder fitted on it."""
 
     encoded: DataFrame
     encoder: encode.Encoder
@@ -85,7 +85,7 @@ class Prepared:
 def prepared(invoices: DataFrame, vendors: DataFrame, feature_set: str = "reference") -> Prepared:
     mart = materialize(feature_mart(invoices, vendors), "invoice_features")
     encoder = encode.fit_encoder(mart, feature_set)
-    return Prepared(materialize(encoder.transform(mart), "encoded_features"), encoder)
+    return Prepared(encoder.transform(mart), encoder)
 
 
 def isolation_forest(data: Prepared) -> DataFrame:
