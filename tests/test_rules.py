@@ -134,12 +134,19 @@ def brute_force(invoices, tolerance, min_similarity):
     return found
 
 
-@pytest.mark.parametrize(("tolerance", "min_similarity", "hot_rows"), [(1.0, 90, 100), (0.01, 80, 100), (1.0, 70, 2)])
-def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_rows):
+@pytest.mark.parametrize(
+    ("tolerance", "min_similarity", "hot_rows", "max_shared_texts"),
+    [(1.0, 90, 100, 1000), (0.01, 80, 100, 1000), (1.0, 70, 2, 1000), (1.0, 75, 100, 3)],
+)
+def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_rows, max_shared_texts):
     invoices = random_invoices(make_invoices, 250, 3)
     expected = brute_force(invoices, tolerance, min_similarity)
     rows = duplicates.duplicate_pairs(
-        invoices, amount_tolerance=tolerance, min_similarity=min_similarity, hot_rows=hot_rows
+        invoices,
+        amount_tolerance=tolerance,
+        min_similarity=min_similarity,
+        hot_rows=hot_rows,
+        max_shared_texts=max_shared_texts,
     ).collect()
     got = {(r["invoice_id"], r["matched_invoice"]): (r["days_difference"], r["description_similarity"]) for r in rows}
     assert len(rows) == len(got)
@@ -148,13 +155,20 @@ def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_r
         assert got[key] == (days, pytest.approx(score))
 
 
-@pytest.mark.parametrize("side", ["first", "both"])
-@pytest.mark.parametrize("tolerance", [1.0, 0.01])
-def test_flags_equal_the_pair_report(make_invoices, side, tolerance):
+@pytest.mark.parametrize(
+    ("side", "tolerance", "max_shared_texts"), [("first", 1.0, 1000), ("both", 1.0, 3), ("both", 0.01, 1000)]
+)
+def test_flags_equal_the_pair_report(make_invoices, side, tolerance, max_shared_texts):
     invoices = random_invoices(make_invoices, 300, 11)
     expected = brute_force(invoices, tolerance, 80)
     ids = {a for a, _ in expected} | ({b for _, b in expected} if side == "both" else set())
-    flags = duplicates.duplicate_flags(invoices, amount_tolerance=tolerance, min_similarity=80, flag_side=side)
+    flags = duplicates.duplicate_flags(
+        invoices,
+        amount_tolerance=tolerance,
+        min_similarity=80,
+        flag_side=side,
+        max_shared_texts=max_shared_texts,
+    )
     assert sorted(r["invoice_id"] for r in flags.collect()) == sorted(ids)
 
 

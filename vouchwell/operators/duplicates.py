@@ -20,15 +20,20 @@ AMOUNT_TOLERANCE = 1.0
 MIN_SIMILARITY = 90
 LOWEST_CUTOFF = 70
 HOT_PAIR_ROWS = 100_000
+MAX_SHARED_TEXTS = 20_000
 
 
 def distinct_descriptions(invoices: DataFrame) -> DataFrame:
     return invoices.select(sorted_words(F.col("description")).alias("text")).distinct()
 
 
-def similar_texts(texts: DataFrame, min_similarity: int = MIN_SIMILARITY) -> DataFrame:
+def similar_texts(
+    texts: DataFrame, min_similarity: int = MIN_SIMILARITY, within: tuple[str, ...] = ()
+) -> DataFrame:
     """Ordered pairs of different texts scoring at least ``min_similarity``.
 
+    With ``within`` only texts that agree on those columns meet.
+
     Exact blocking by shared segments (Li, Deng, Wang, Feng: Pass-Join, VLDB 2012). A
     score above the cutoff bounds the insertions and deletions between two texts by some
     t; cut the shorter text into t + 1 segments and one of them survives unchanged in the
@@ -37,7 +42,7 @@ def similar_texts(texts: DataFrame, min_similarity: int = MIN_SIMILARITY) -> Dat
     if min_similarity < LOWEST_CUTOFF:
         raise ValueError(f"min_similarity must be at least {LOWEST_CUTOFF}")
     slack = 100 - min_similarity
-    sized = texts.filter(F.length("text") > 0).select("text", F.length("text").alias("len"))
+    sized = texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len"))
 
     def whole(numerator: Column, denominator) -> Column:
         return F.floor(numerator / denominator).cast("int")
@@ -52,6 +57,7 @@ def similar_texts(texts: DataFrame, min_similarity: int = MIN_SIMILARITY) -> Dat
     segment, length = F.col("segment"), F.col("len")
     start = segment_start(length, segment)
     shorter = sized.withColumn("segment", F.explode(F.sequence(F.lit(0), segment_count(length) - 1))).select(
+        *within,
         F.col("text").alias("short_text"),
         length.alias("short_len"),
         "segment",
@@ -74,6 +80,7 @@ def similar_texts(texts: DataFrame, min_similarity: int = MIN_SIMILARITY) -> Dat
         .filter(F.col("first") <= F.col("last"))
         .withColumn("at", F.explode(F.sequence("first", "last")))
         .select(
+            *within,
             F.col("text").alias("long_text"),
             "short_len",
             "segment",
@@ -85,29 +92,39 @@ def similar_texts(texts: DataFrame, min_similarity: int = MIN_SIMILARITY) -> Dat
     different = (a != b) & ((F.length(a) > F.length(b)) | (a < b))
     # Edit distance never exceeds the insertions and deletions needed, and is cheap.
     scored = (
-        longer.join(shorter, ["short_len", "segment", "piece"])
+        longer.join(shorter, [*within, "short_len", "segment", "piece"])
         .filter(different & (F.levenshtein(a, b) <= edits))
-        .select("long_text", "short_text")
+        .select(*within, "long_text", "short_text")
         .distinct()
         .withColumn("similarity", similarity(a, b))
         .filter(F.col("similarity") >= min_similarity)
     )
-    return scored.select(a.alias("text"), b.alias("other_text"), "similarity").union(
-        scored.select(b.alias("text"), a.alias("other_text"), "similarity")
+    return scored.select(*within, a.alias("text"), b.alias("other_text"), "similarity").union(
+        scored.select(*within, b.alias("text"), a.alias("other_text"), "similarity")
     )
 
 
-def _partners(rows: DataFrame, min_similarity: int) -> DataFrame:
-    return materialize(similar_texts(rows.select("text").distinct(), min_similarity), "similar_texts")
+def _partners(rows: DataFrame, min_similarity: int, max_shared_texts: int) -> DataFrame:
+    """Similar descriptions: over all vendors while few are distinct, else per vendor.
+
+    A short catalogue of texts is scored once for everybody. Free text would meet too
+    many strangers that way, so its texts meet only inside their vendor.
+    """
+    texts = materialize(rows.select("text").distinct(), "texts")
+    if texts.limit(max_shared_texts + 1).count() <= max_shared_texts:
+        return materialize(similar_texts(texts, min_similarity), "similar_texts")
+    own_texts = rows.select("vendor_id", "text").distinct()
+    return materialize(similar_texts(own_texts, min_similarity, ("vendor_id",)), "similar_texts")
 
 
 def _with_texts(rows: DataFrame, partners: DataFrame) -> DataFrame:
     """One row per description to look for: its own, then each similar one."""
-    listed = partners.groupBy("text").agg(F.collect_list(F.struct("other_text", "similarity")).alias("others"))
+    keys = [c for c in partners.columns if c in ("vendor_id", "text")]
+    listed = partners.groupBy(*keys).agg(F.collect_list(F.struct("other_text", "similarity")).alias("others"))
     own = F.array(F.struct(F.col("text").alias("other_text"), F.lit(100.0).alias("similarity")))
     wanted = F.when(F.col("others").isNull(), own).otherwise(F.concat(own, "others"))
     return (
-        rows.join(broadcast_if_small(listed), "text", "left")
+        rows.join(broadcast_if_small(listed), keys, "left")
         .withColumn("wanted", F.explode(wanted))
         .select(*rows.columns, "wanted.other_text", "wanted.similarity")
     )
@@ -127,6 +144,7 @@ def duplicate_pairs(
     amount_tolerance: float = AMOUNT_TOLERANCE,
     min_similarity: int = MIN_SIMILARITY,
     hot_rows: int = HOT_PAIR_ROWS,
+    max_shared_texts: int = MAX_SHARED_TEXTS,
 ) -> DataFrame:
     """The pair report: an invoice, and a later one of its vendor that resembles it.
 
@@ -135,7 +153,7 @@ def duplicate_pairs(
     """
     rows = _dated(invoices)
     bucket = F.floor(F.unix_date("invoice_date") / (date_window + 1)).cast("int")
-    earlier = _with_texts(rows, _partners(rows, min_similarity)).select(
+    earlier = _with_texts(rows, _partners(rows, min_similarity, max_shared_texts)).select(
         "vendor_id",
         F.col("other_text").alias("text"),
         bucket.alias("bucket"),
@@ -221,6 +239,7 @@ def duplicate_flags(
     amount_tolerance: float = AMOUNT_TOLERANCE,
     min_similarity: int = MIN_SIMILARITY,
     flag_side: str = "first",
+    max_shared_texts: int = MAX_SHARED_TEXTS,
 ) -> DataFrame:
     """Distinct invoices with a match: the earlier of a pair, or both sides.
 
@@ -231,7 +250,9 @@ def duplicate_flags(
     if flag_side not in ("first", "both"):
         raise ValueError(f"unknown flag_side {flag_side!r}")
     if amount_tolerance != 1.0:
-        pairs = duplicate_pairs(invoices, date_window, amount_tolerance, min_similarity)
+        pairs = duplicate_pairs(
+            invoices, date_window, amount_tolerance, min_similarity, max_shared_texts=max_shared_texts
+        )
         ids = pairs.select("invoice_id")
         if flag_side == "both":
             ids = ids.union(pairs.select("matched_invoice"))
@@ -247,7 +268,7 @@ def duplicate_flags(
     every = F.array(F.lit("plus"), F.lit("minus"), F.lit("none"))
     seen_by = F.when(F.col("sign") == "none", every).otherwise(F.array("sign", F.lit("none")))
     visible = (
-        _with_texts(days, _partners(rows, min_similarity))
+        _with_texts(days, _partners(rows, min_similarity, max_shared_texts))
         .withColumn("sign", F.explode(seen_by))
         .groupBy("vendor_id", F.col("other_text").alias("text"), "sign", "invoice_date")
         .agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
