@@ -155,16 +155,9 @@ def save_artifacts(folder: str, encoded: DataFrame, encoder: Encoder, vectorizer
 
 def onehot_rows(encoded: DataFrame, encoder: Encoder, vectorizer: PipelineModel) -> DataFrame:
     """The one-hot part of the matrix as (invoice_id, feature) rows."""
-    names = F.array(*[F.lit(n) for n in feature_names(vectorizer, encoder)])
-    parts = []
-    offset = len(encoder.numeric)
-    for c, values in zip(encoder.categorical, vectorizer.stages[0].labelsArray):
-        index = F.col(f"{c}_index").cast("int")
-        parts.append(F.when(index < len(values), index + offset))
-        offset += len(values)
-    return (
-        vectorizer.transform(encoded)
-        .select("invoice_id", F.explode(F.array(*parts)).alias("position"))
-        .filter(F.col("position").isNotNull())
-        .select("invoice_id", F.get(names, F.col("position")).alias("feature"))
-    )
+    features = [
+        F.when(F.col(f"{c}_index") < len(values), F.concat(F.lit(f"categorical__{c}_"), F.col(c)))
+        for c, values in zip(encoder.categorical, vectorizer.stages[0].labelsArray)
+    ]
+    indexed = vectorizer.stages[0].transform(encoded)
+    return indexed.select("invoice_id", F.explode(F.array_compact(F.array(*features))).alias("feature"))
