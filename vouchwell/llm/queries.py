@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm import exact_dedup, url_filter, warc_zip
+from vouchwell.llm import ann, exact_dedup, packing, quality, toxicity, url_filter, warc_zip
 from vouchwell.llm.common import table
 
 URL_RULES = [
@@ -19,6 +20,10 @@ URL_RULES = [
 ]
 
 
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
 
@@ -27,15 +32,32 @@ def exact_groups(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"), keep="largest")
 
 
+def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return warc_zip.read(warc_zip.write(pages, warc_zip.archive_folder(pages), min_bytes=0))
 
 
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    index = ann.build(table(spark, folder, "embeddings"))
+    return ann.search(index, F.col("id") % 20 == 0, 20)
+
+
+def quality_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity_scores,
     "op2_url_filter": url_verdicts,
     "op4_exact_dedup": exact_groups,
+    "op5_packing": packed_sequences,
     "op7_warc": warc_round_trip,
+    "op9_ann": neighbours,
+    "op10_quality": quality_verdicts,
 }
 
 ORACLES: dict[str, str] = {
