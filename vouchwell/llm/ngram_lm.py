@@ -9,7 +9,7 @@ numbers, sharded by their hash. The five symbols before a text are boundary mark
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,6 +26,9 @@ SYMBOLS = 1 << BITS
 BROADCAST_GRAMS = 4_000_000
 MERGE_ROWS = 4_000_000
 
+#: Texts -> (rows, keys per row, keys end to end) of groups of texts or of their pieces.
+Extract = Callable[[list[str | None]], Iterator[tuple[list[int], np.ndarray, np.ndarray]]]
+
 _FOLD = np.arange(SYMBOLS, dtype=np.int64)
 _FOLD[9:14] = ord(" ")
 _FOLD[ord("0") : ord("9") + 1] = ord("0")
@@ -105,7 +108,7 @@ def class_counts(docs: DataFrame, class_col: Column, classes: int, text_col: str
     return materialize(counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in names)), "grams")
 
 
-def _discounts(rows: DataFrame, counts: list[str]) -> dict[str, list[float]]:
+def discounts(rows: DataFrame, counts: list[str]) -> dict[str, list[float]]:
     """Modified Kneser-Ney discounts for counts of 1, 2 and 3 or more."""
     seen = rows.agg(*(F.count_if(F.col(c) == k).alias(f"{c}_{k}") for c in counts for k in (1, 2, 3, 4))).first()
     found = {}
@@ -119,7 +122,7 @@ def _discounts(rows: DataFrame, counts: list[str]) -> dict[str, list[float]]:
 
 def _smoothed(rows: DataFrame, counts: list[str], order: int, lower: DataFrame | None, uniform: float) -> DataFrame:
     """gram and p_<count> for every row, also for those whose counts are 0."""
-    discounts = _discounts(rows, counts)
+    held = discounts(rows, counts)
     out = rows.withColumns({"context": F.shiftright("gram", BITS), "suffix": F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1)})
     known = out
     if lower is None:
@@ -128,7 +131,7 @@ def _smoothed(rows: DataFrame, counts: list[str], order: int, lower: DataFrame |
         lower = lower.select(F.col("gram").alias("suffix"), F.col("p_n").alias("below"))
         out = out.join(F.broadcast(lower) if order == 2 else lower, "suffix")  # at order 2 it has 4,096 rows at most
     for c in counts:
-        n, (d1, d2, d3) = F.col(c), discounts[c]
+        n, (d1, d2, d3) = F.col(c), held[c]
         contexts = known.where(n > 0).groupBy("context").agg(
             F.sum(n).alias("total"),
             (d1 * F.count_if(n == 1) + d2 * F.count_if(n == 2) + d3 * F.count_if(n > 2)).alias("left_over"),
@@ -164,44 +167,56 @@ def probabilities(counted: DataFrame, counts: list[str]) -> DataFrame:
     return _smoothed(counted, counts, ORDER, lower, uniform)
 
 
-def with_means(docs: DataFrame, values: DataFrame, column: str, text_col: str = "text", most: int = BROADCAST_GRAMS) -> DataFrame:
-    """Add the mean of ``values`` (gram, value) over a text's n-grams; 0 for an empty text.
+def with_means(
+    docs: DataFrame,
+    values: DataFrame,
+    column: str,
+    text_col: str = "text",
+    extract: Extract = grams,
+    default: float = 0.0,
+    most: int = BROADCAST_GRAMS,
+) -> DataFrame:
+    """Add a struct (mean of ``values`` (gram, value) over a text's n-grams, size: their number); the mean of none is 0.
 
-    ``values`` is a written table that holds every n-gram of ``docs``.
+    ``values`` is a written table; an n-gram that it lacks counts as ``default``.
     """
     if values.limit(most + 1).count() > most:
-        return _joined_means(docs, values, column, text_col)
+        return _joined_means(docs, values, column, text_col, extract, default)
     held = values.toArrow().sort_by("gram")
     shared = docs.sparkSession.sparkContext.broadcast(
         (held.column("gram").to_numpy(), held.column("value").to_numpy().astype(np.float32))
     )
 
-    @F.pandas_udf("double")
-    def mean(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("mean double, size long")
+    def mean(texts: pd.Series) -> pd.DataFrame:
         keys, scores = shared.value
-        total, size = np.zeros(len(texts)), np.zeros(len(texts))
-        for rows, sizes, found in grams(list(texts)):
+        total, size = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        for rows, sizes, found in extract(list(texts)):
             if not len(found):
                 continue
             codes, distinct = pd.factorize(found)
-            own = scores[np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)].astype(np.float64)[codes]
+            own = np.full(len(distinct), default)
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+                own = np.where(keys[place] == distinct, scores[place], own)
+            own = own[codes]
             sums = np.concatenate([[0.0], np.cumsum(own)])
             ends = np.cumsum(sizes)
             np.add.at(total, rows, sums[ends] - sums[ends - sizes])
             np.add.at(size, rows, sizes)
-        return pd.Series(total / np.maximum(size, 1))
+        return pd.DataFrame({"mean": total / np.maximum(size, 1), "size": size})
 
     return docs.withColumn(column, mean(text_of(text_col)))
 
 
-def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str) -> DataFrame:
+def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str, extract: Extract, default: float) -> DataFrame:
     """The same for a model of any size: (text, n-gram, count) rows meet it by a join."""
     rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             ids = batch.column("__row").to_numpy()
-            for own, sizes, found in grams(batch.column("text").to_pylist()):
+            for own, sizes, found in extract(batch.column("text").to_pylist()):
                 order = np.lexsort((found, owner := np.repeat(ids[own], sizes)))
                 owner, found = owner[order], found[order]
                 first = np.append(True, (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])) if len(found) else []
@@ -210,8 +225,11 @@ def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(owner[starts]), pa.array(found[starts]), pa.array(n)], ["__row", "gram", "n"])
 
     counted = rows.select("__row", text_of(text_col).alias("text")).mapInArrow(counts, "__row long, gram long, n long")
-    means = counted.join(values, "gram").groupBy("__row").agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias(column))
-    return rows.join(means, "__row", "left").drop("__row").fillna(0.0, [column])
+    value = F.coalesce("value", F.lit(default))
+    means = counted.join(values, "gram", "left").groupBy("__row").agg((F.sum(F.col("n") * value) / F.sum("n")).alias("mean"), F.sum("n").alias("size"))
+    joined = rows.join(means.select("__row", F.struct("mean", "size").alias(column)), "__row", "left")
+    empty = F.struct(F.lit(0.0).alias("mean"), F.lit(0).cast("long").alias("size"))
+    return joined.withColumn(column, F.coalesce(column, empty)).drop("__row")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float, ...]:

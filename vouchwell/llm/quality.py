@@ -44,7 +44,7 @@ def judge(
     chances = ngram_lm.probabilities(ngram_lm.class_counts(rows, kind, 1, text_col), ["c0"])
     losses = materialize(chances.select("gram", (-F.log("p_c0")).alias("value")), "log_loss")
     scored = ngram_lm.with_means(rows, losses, _LOSS, text_col)
-    scored = materialize(scored.select(id_col, lang_col, F.exp(_LOSS).alias("perplexity"), _TRUSTED, _COUNTED), "perplexities")
+    scored = materialize(scored.select(id_col, lang_col, F.exp(f"{_LOSS}.mean").alias("perplexity"), _TRUSTED, _COUNTED), "perplexities")
     fresh = scored.where(F.col(_TRUSTED) & ~F.col(_COUNTED))
     cut = F.percentile_approx("perplexity", quantile, ACCURACY)
     overall = fresh.agg(cut).first()[0]
