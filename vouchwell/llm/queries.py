@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm import ann, exact_dedup, packing, quality, toxicity, url_filter, warc_zip
+from vouchwell.llm import ann, exact_dedup, near_dedup, packing, quality, toxicity, url_filter, warc_zip
 from vouchwell.llm.common import table
 
 URL_RULES = [
@@ -36,6 +36,10 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def near_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.group(table(spark, folder, "documents"), width=4, similarity=80)
+
+
 def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return warc_zip.read(warc_zip.write(pages, warc_zip.archive_folder(pages), min_bytes=0))
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": url_verdicts,
     "op4_exact_dedup": exact_groups,
     "op5_packing": packed_sequences,
+    "op6_near_dedup": near_groups,
     "op7_warc": warc_round_trip,
     "op9_ann": neighbours,
     "op10_quality": quality_verdicts,
@@ -66,6 +71,31 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+                   THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reach(u, v) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v)
+        SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+        FROM documents d JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) r ON r.u = d.doc_id
+        LEFT JOIN sizes z ON z.doc_id = d.doc_id
+    """,
     "op7_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
