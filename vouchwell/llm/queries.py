@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm import ann, exact_dedup, near_dedup, packing, quality, toxicity, url_filter, warc_zip
+from vouchwell.llm import ann, exact_dedup, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter, warc_zip
 from vouchwell.llm.common import table
 
 URL_RULES = [
@@ -45,6 +45,10 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return warc_zip.read(warc_zip.write(pages, warc_zip.archive_folder(pages), min_bytes=0))
 
 
+def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.measure(table(spark, folder, "documents"), length=400)
+
+
 def neighbours(spark: SparkSession, folder: str) -> DataFrame:
     index = ann.build(table(spark, folder, "embeddings"))
     return ann.search(index, F.col("id") % 20 == 0, 20)
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packed_sequences,
     "op6_near_dedup": near_groups,
     "op7_warc": warc_round_trip,
+    "op8_suffix_dedup": repeated_bytes,
     "op9_ann": neighbours,
     "op10_quality": quality_verdicts,
 }
@@ -109,4 +114,28 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> lead THEN lead END AS refers_to
         FROM p
     """,
+    "op8_suffix_dedup": """
+        WITH t AS (
+            SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        places AS (
+            SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 800)) AS h
+            FROM (SELECT doc_id, x, unnest(range(n - 399)) AS i FROM t WHERE n >= 400)),
+        often AS (SELECT h FROM places GROUP BY h HAVING count(*) > 1),
+        marked AS (
+            SELECT doc_id, i, coalesce(i > lag(i) OVER w + 400, true)::INT AS fresh
+            FROM places WHERE h IN (SELECT h FROM often) WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY doc_id, span),
+        pieces AS (
+            SELECT s.doc_id, a, b, n, x, coalesce(lag(b) OVER w, 0) AS before, lead(a) OVER w IS NULL AS final
+            FROM spans s JOIN t USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+        cut AS (
+            SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(x, 2 * before + 1, 2 * (a - before)) || CASE WHEN final THEN substr(x, 2 * b + 1) ELSE '' END,
+                              '' ORDER BY a) AS kept
+            FROM pieces GROUP BY doc_id)
+        SELECT t.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, x))) AS kept_sha256
+        FROM t LEFT JOIN cut USING (doc_id)
+    """,
 }
