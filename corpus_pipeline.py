@@ -4,21 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vouchwell.llm import exact_dedup
+from vouchwell.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
 from vouchwell.llm.common import table
 from vouchwell.storage import materialize
 
+REPEATED_BYTES = 400
+TOKENIZER = "word_bpe_49k.json"
 
-def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One row of each set of equal texts stays."""
+
+def ordinary(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Toxicity: rejected documents go."""
+    return toxicity.keep_ordinary(docs, table(spark, folder, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Exact dedup: of equal texts one row stays, that with the largest doc_id."""
     return exact_dedup.deduplicate(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact dedup", exact),
+def dissimilar(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Near dedup on shingles of five words, similarity 0.8: one document of each group stays."""
+    return near_dedup.deduplicate(docs)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Passages of ``REPEATED_BYTES`` that occur again anywhere leave the texts; n_chars follows."""
+    return suffix_dedup.remove(docs, length=REPEATED_BYTES, chars_col="n_chars")
+
+
+def sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One row per piece of a document in a packed sequence."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", ordinary),
+    ("exact dedup", distinct),
+    ("near dedup", dissimilar),
+    ("suffix dedup", unrepeated),
+    ("packing", sequences),
 ]
+#: Tokenised pieces, model scores and sampled sketches are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

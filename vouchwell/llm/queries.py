@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm import ann, exact_dedup, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter, warc_zip
+from vouchwell.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter, warc_zip
 from vouchwell.llm.common import table
 
 URL_RULES = [
@@ -28,6 +28,11 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+def bpe_digests(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.measure(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 def exact_groups(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.groups(table(spark, folder, "documents"), keep="largest")
 
@@ -61,6 +66,7 @@ def quality_verdicts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_url_filter": url_verdicts,
+    "op3_bpe": bpe_digests,
     "op4_exact_dedup": exact_groups,
     "op5_packing": packed_sequences,
     "op6_near_dedup": near_groups,

@@ -278,7 +278,7 @@ def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
 def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
     """(what stays, bytes removed, maximal removed runs)."""
     spans: list[list[int]] = []
-    for span in ranges or ():
+    for span in ranges if ranges is not None else ():
         if spans and span["start"] <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], span["end"])
         else:
@@ -315,14 +315,26 @@ def measure(
 
 
 def remove(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, most_runs: int = MOST_RUNS
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chars_col: str | None = None,
+    gram: int = GRAM,
+    most_runs: int = MOST_RUNS,
 ) -> DataFrame:
-    """``docs`` with repeated bytes removed from the texts; what a cut leaves of a character goes too."""
+    """``docs`` with repeated bytes removed from the texts; what a cut leaves of a character goes too.
+
+    With ``chars_col`` that column follows the number of characters of a changed text.
+    """
     rows = _with_ranges(docs, id_col, text_col, length, gram, most_runs)
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([_kept(t, r)[0].decode("utf-8", "ignore") for t, r in zip(texts, ranges, strict=True)])
 
-    changed = F.when(F.col("__ranges").isNotNull(), kept("__text", "__ranges")).otherwise(F.col(text_col))
-    return rows.withColumn(text_col, changed).select(*docs.columns)
+    changed = F.col("__ranges").isNotNull()
+    new = {text_col: F.when(changed, kept("__text", "__ranges")).otherwise(F.col(text_col))}
+    if chars_col is not None:
+        new[chars_col] = F.when(changed, F.length(new[text_col])).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+    return rows.withColumns(new).select(*docs.columns)
