@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchwell.llm.common import slices, text_of
+from vouchwell.llm.common import per_worker, slices, text_of
 from vouchwell.llm.wordcache import WordCache, coded, cut_mark
 
 WORDS_AT_ONCE = 20_000
@@ -165,14 +165,9 @@ class Bpe:
         return out
 
 
-_loaded: dict[tuple[str, str], Bpe] = {}
-
-
 def loaded(path: str, pattern: str) -> Bpe:
     """One a worker process."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = Bpe(path, pattern)
-    return _loaded[path, pattern]
+    return per_worker(f"bpe {path} {pattern}", lambda: Bpe(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,3 +35,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_CHA
             held += size
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def per_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, once a Python worker process.
+
+    This package travels to the workers by value, so its own module variables start anew
+    with every task; a module of the process does not.
+    """
+    held = sys.modules.setdefault("vouchwell_worker_state", types.ModuleType("vouchwell_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

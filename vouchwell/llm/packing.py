@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vouchwell.llm.common import slices, text_of
+from vouchwell.llm.common import per_worker, slices, text_of
 from vouchwell.llm.wordcache import WordCache, coded, cut_mark
 from vouchwell.storage import materialize
 
@@ -41,41 +41,43 @@ END = 1
 SLACK = 1 / 128
 JOINED = 2_000
 
-_caches: dict[str, WordCache] = {}
+def _word_cache(path: str) -> WordCache:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    mark = tokenizer.encode("\0", add_special_tokens=False).ids
+
+    def alone(word: str) -> np.ndarray:
+        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, np.int32)
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Many words in one call, with a NUL between them; words with a NUL of their own go alone."""
+        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+        plain = [i for i, w in enumerate(words) if "\0" not in w]
+        for i in range(len(words)):
+            if "\0" in words[i]:
+                found[i] = alone(words[i])
+        for start in range(0, len(plain), JOINED):
+            part = plain[start : start + JOINED]
+            ids = alone(" \0 ".join(words[i] for i in part))
+            cuts = np.flatnonzero(ids == mark[0])
+            if len(mark) != 1 or len(cuts) != len(part) - 1:
+                pieces = [alone(words[i]) for i in part]
+            else:
+                pieces = np.split(ids, cuts)
+                pieces[1:] = [p[1:] for p in pieces[1:]]
+            for i, piece in zip(part, pieces, strict=True):
+                found[i] = piece
+        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+
+    return WordCache(encode)
 
 
 def word_cache(path: str) -> WordCache:
     """One cache a worker process and tokenizer file."""
-    if path not in _caches:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        mark = tokenizer.encode("\0", add_special_tokens=False).ids
-
-        def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            """Many words in one call, with a NUL between them; words with a NUL of their own go alone."""
-            found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-            plain = [i for i, w in enumerate(words) if "\0" not in w]
-            for i in range(len(words)):
-                if "\0" in words[i]:
-                    found[i] = np.array(tokenizer.encode(words[i], add_special_tokens=False).ids, np.int32)
-            for start in range(0, len(plain), JOINED):
-                part = plain[start : start + JOINED]
-                ids = np.array(tokenizer.encode(" \0 ".join(words[i] for i in part), add_special_tokens=False).ids, np.int32)
-                cuts = np.flatnonzero(ids == mark[0])
-                if len(mark) != 1 or len(cuts) != len(part) - 1:
-                    pieces = [np.array(tokenizer.encode(words[i], add_special_tokens=False).ids, np.int32) for i in part]
-                else:
-                    pieces = np.split(ids, cuts)
-                    pieces[1:] = [p[1:] for p in pieces[1:]]
-                for i, piece in zip(part, pieces, strict=True):
-                    found[i] = piece
-            return np.concatenate(found) if found else np.zeros(0, np.int32), np.array([len(x) for x in found], np.int64)
-
-        _caches[path] = WordCache(encode)
-    return _caches[path]
+    return per_worker(f"words of {path}", lambda: _word_cache(path))
 
 
 def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
@@ -101,7 +103,7 @@ def cuts(tokens: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tu
             found.append((left, k))
             break
         size = capacity // (k + 1)
-        found.append((size, k + 1))
+        found.append((size, capacity // size))
         left -= size
     return found
 
