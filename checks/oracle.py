@@ -206,7 +206,7 @@ FROM (SELECT i.invoice_id, i.vendor_id,
     FROM inv i LEFT JOIN shell s ON i.vendor_id = s.vendor_id LEFT JOIN benford b ON i.vendor_id = b.vendor_id)"""
 
 CTES["picked"] = """
-SELECT *, 1 + ascii(left(md5(invoice_id), 1)) % 5 AS shift FROM inv
+SELECT *, CAST(1 + ('0x' || left(md5(invoice_id), 8))::BIGINT % 5 AS INTEGER) AS shift FROM inv
 ORDER BY md5(invoice_id || '|42'), invoice_id LIMIT 100"""
 _new_amount = half_up("amount + 0.01::DOUBLE", 2)
 CTES["copies"] = f"""
@@ -327,19 +327,19 @@ def _null_profile() -> str:
     return f"SELECT column_name, missing FROM ({parts}) ORDER BY missing DESC, column_name LIMIT 10"
 
 
-def _dq() -> str:
+def _dq(source: str = "inv") -> str:
     nulls = " + ".join(f"count(*) FILTER ({c.strip()} IS NULL)" for c in INVOICE_COLUMNS.split(","))
     checks = {
         "unique_invoice_id": "count(*) - count(DISTINCT invoice_id)",
         "no_missing_values": nulls,
-        "positive_amount": "count(*) FILTER (NOT amount > 0)",
-        "positive_quantity": "count(*) FILTER (NOT quantity > 0)",
-        "positive_unit_price": "count(*) FILTER (NOT unit_price > 0)",
-        "payment_not_before_invoice": "count(*) FILTER (payment_date < invoice_date)",
-        "due_not_before_invoice": "count(*) FILTER (due_date < invoice_date)",
-        "single_currency": "count(*) FILTER (currency <> 'INR')",
+        "positive_amount": "count(*) FILTER (NOT coalesce(amount > 0, false))",
+        "positive_quantity": "count(*) FILTER (NOT coalesce(quantity > 0, false))",
+        "positive_unit_price": "count(*) FILTER (NOT coalesce(unit_price > 0, false))",
+        "payment_not_before_invoice": "count(*) FILTER (NOT coalesce(payment_date >= invoice_date, false))",
+        "due_not_before_invoice": "count(*) FILTER (NOT coalesce(due_date >= invoice_date, false))",
+        "single_currency": "count(*) FILTER (NOT coalesce(currency = 'INR', false))",
     }
-    rows = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", CAST({c} AS BIGINT) AS violations FROM inv" for n, c in checks.items())
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", CAST({c} AS BIGINT) AS violations FROM {source}" for n, c in checks.items())
     return f'SELECT "check", violations, violations = 0 AS passed FROM ({rows})'
 
 
@@ -480,6 +480,81 @@ CTES["filled_stats"] = (
 )
 
 
+METADATA = """invoice_id, vendor_id, vendor_name, invoice_date, submission_timestamp, payment_date, due_date,
+    purchase_order_id, contract_id, description, requester, approver"""
+CTES["zscores"] = f"""
+SELECT {METADATA}, amount, {half_up("abs(vendor_amount_zscore)", 4)} AS reconstruction_error FROM mart_full"""
+CTES["zlimit"] = "SELECT quantile_cont(reconstruction_error, 0.98) AS threshold FROM zscores"
+CTES["zlabels"] = """
+SELECT z.*, CASE WHEN reconstruction_error > threshold THEN 1 ELSE 0 END AS prediction FROM zscores z, zlimit"""
+CTES["zrange"] = """
+SELECT min(reconstruction_error) AS low, (max(reconstruction_error) - min(reconstruction_error)) / 50 AS width
+FROM zscores"""
+CTES["zbins"] = """
+SELECT CAST(least(floor((reconstruction_error - low) / width), 49) AS INTEGER) AS bin, count(*) AS n
+FROM zscores, zrange GROUP BY ALL"""
+CTES["lowest"] = """
+SELECT invoice_id, -reconstruction_error AS anomaly_score,
+    CASE WHEN -reconstruction_error < (SELECT quantile_cont(-reconstruction_error, 0.02) FROM zscores)
+        THEN 1 ELSE 0 END AS prediction FROM zscores"""
+CTES["profiles"] = """
+SELECT i.vendor_id, any_value(v.vendor_category) AS kind, count(*) / 100 AS n, avg(i.amount) / 10000 AS mean,
+    max(i.amount) / 100000 AS top
+FROM inv i JOIN ven v ON i.vendor_id = v.vendor_id GROUP BY i.vendor_id"""
+CTES["nearest"] = """
+SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY distance, neighbor) AS rank FROM (
+        SELECT a.vendor_id AS invoice_id, b.vendor_id AS neighbor,
+            sqrt((a.n - b.n) * (a.n - b.n) + (a.mean - b.mean) * (a.mean - b.mean) + (a.top - b.top) * (a.top - b.top)
+                + CASE WHEN a.kind <> b.kind THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END) AS distance
+        FROM profiles a JOIN profiles b ON a.vendor_id <> b.vendor_id))
+WHERE rank <= 5"""
+CTES["reaches"] = "SELECT invoice_id AS neighbor, max(distance) AS k_distance FROM nearest GROUP BY invoice_id"
+CTES["densities"] = """
+SELECT invoice_id, 1.0::DOUBLE / (avg(greatest(distance, k_distance)) + 1e-10::DOUBLE) AS density
+FROM nearest JOIN reaches USING (neighbor) GROUP BY invoice_id"""
+CTES["factors"] = """
+SELECT n.invoice_id, -avg(o.density) / any_value(d.density) AS anomaly_score
+FROM nearest n JOIN densities o ON o.invoice_id = n.neighbor JOIN densities d ON d.invoice_id = n.invoice_id
+GROUP BY n.invoice_id"""
+CTES["gappy"] = """
+SELECT * REPLACE (
+    CASE WHEN left(md5(invoice_id), 1) <> '0' THEN amount END AS amount,
+    CASE WHEN left(md5(invoice_id), 1) <> '1' THEN quantity END AS quantity,
+    CASE WHEN left(md5(invoice_id), 1) <> '2' THEN unit_price END AS unit_price,
+    CASE WHEN left(md5(invoice_id), 1) <> '3' THEN payment_date END AS payment_date,
+    CASE WHEN left(md5(invoice_id), 1) <> '4' THEN due_date END AS due_date,
+    CASE WHEN left(md5(invoice_id), 1) <> '5' THEN currency END AS currency) FROM inv"""
+_WIDE = {"picked": CTES["picked"].replace("% 5 AS", "% 30 AS")}
+
+
+def score_oracles() -> dict[str, str]:
+    labels = "SELECT invoice_id, fraud_label, fraud_type, source_invoice, parameters FROM truth"
+    plain = {
+        "dq_report_gaps": _dq("gappy"),
+        "csv_invoices": "SELECT * FROM inv",
+        "csv_vendors": "SELECT * REPLACE (replace(vendor_address, chr(10), ', ') AS vendor_address) FROM ven",
+        "csv_rule_table": "SELECT * FROM benford",
+        "saved_vote": "SELECT * FROM votes",
+        "saved_injection": labels,
+        "score_threshold": f"SELECT {half_up('threshold', 6)} AS threshold FROM zlimit",
+        "score_labels": "SELECT invoice_id, reconstruction_error, prediction FROM zlabels",
+        "score_histogram": f"""SELECT bin, {half_up("low + bin * width", 6)} AS lower,
+            {half_up("low + (bin + 1) * width", 6)} AS upper, n, {half_up("threshold", 6)} AS threshold
+            FROM zbins, zrange, zlimit""",
+        "score_top": """SELECT invoice_id, vendor_id, vendor_name, amount, reconstruction_error FROM zscores
+            ORDER BY reconstruction_error DESC, invoice_id LIMIT 10""",
+        "score_summary": """SELECT count(*) AS total_invoices, CAST(sum(prediction) AS BIGINT) AS predicted_anomalies,
+            CAST(count(*) - sum(prediction) AS BIGINT) AS normal_invoices FROM zlabels""",
+        "lowest_score_labels": "SELECT * FROM lowest",
+        "lowest_score_top": "SELECT * FROM lowest ORDER BY anomaly_score, invoice_id LIMIT 10",
+        "vendor_neighbors": f"""SELECT invoice_id, neighbor, {half_up("distance", 6)} AS distance,
+            CAST(rank AS INTEGER) AS rank FROM nearest""",
+        "vendor_outlier_factors": f"SELECT invoice_id, {half_up('anomaly_score', 6)} AS anomaly_score FROM factors",
+    }
+    return {name: with_ctes(sql) for name, sql in plain.items()} | {"injected_labels_wide": with_ctes(labels, _WIDE)}
+
+
 def model_oracles() -> dict[str, str]:
     fills = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {half_up(c, 4)} AS median, CAST(NULL AS VARCHAR) AS most_frequent FROM middles"
@@ -494,9 +569,10 @@ def model_oracles() -> dict[str, str]:
     return {
         "impute_stats": with_ctes(f"{fills} UNION ALL SELECT column_name, NULL, value FROM modes"),
         "encoded_numeric": with_ctes(f"SELECT invoice_id, {scaled} FROM filled, filled_stats"),
+        "scored_with_saved_encoder": with_ctes(f"SELECT invoice_id, {scaled} FROM filled, filled_stats"),
         "encoded_onehot": with_ctes(onehot),
     }
 
 
 def oracles() -> dict[str, str]:
-    return rule_oracles() | model_oracles()
+    return rule_oracles() | score_oracles() | model_oracles()

@@ -103,7 +103,7 @@ def test_quality_report_counts_violations(make_invoices):
         "no_missing_values": 1,
         "positive_amount": 1,
         "positive_quantity": 1,
-        "positive_unit_price": 0,
+        "positive_unit_price": 1,
         "payment_not_before_invoice": 1,
         "due_not_before_invoice": 0,
         "single_currency": 1,

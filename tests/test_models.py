@@ -164,11 +164,15 @@ def test_autoencoder_learns_and_ranks_outliers(spark):
     assert [r["epoch"] for r in model.history(spark).collect()] == list(range(1, len(losses) + 1))
 
 
-def test_wide_inputs_are_refused(spark, monkeypatch):
+def test_wide_categories_and_saved_encoder(spark, tmp_path):
     encoded, encoder, _ = blob(spark, 40)
-    vectorizer = encode.fit_vectorizer(encoded, encoder)
-    monkeypatch.setattr(autoencoder, "MAX_WIDTH", 3)
-    with pytest.raises(ValueError):
-        autoencoder.inputs(encoded, encoder, vectorizer)
-    with pytest.raises(ValueError):
-        encode.fit_vectorizer(encoded, encoder, max_categories=2)
+    wide = encoded.withColumn("c", F.col("invoice_id")) if "c" in encoder.categorical else encoded
+    vectorizer = encode.fit_vectorizer(wide, encoder)
+    rows, width = autoencoder.inputs(wide, encoder, vectorizer)
+    model = autoencoder.train(autoencoder.sharded(rows, shard_rows=20), width, epochs=2)
+    assert autoencoder.with_errors(rows, model).filter("reconstruction_error >= 0").count() == encoded.count()
+    known = encode.categories(encoded, encoder)
+    assert encode.onehot_rows(encoded, encoder, known).count() == encode.onehot_rows(encoded, encoder).count()
+    assert encode.onehot_rows(encoded, encoder, known.limit(0)).count() == 0
+    encode.save_encoder(spark, encoder, str(tmp_path / "encoder"))
+    assert encode.load_encoder(spark, str(tmp_path / "encoder")) == encoder

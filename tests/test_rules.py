@@ -2,11 +2,12 @@ import datetime as dt
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from vouchwell.functions.scalar import leading_digit, relative_amount_difference
-from vouchwell.functions.similarity import similarity, sorted_words
+from vouchwell.functions.similarity import _common_length, _common_lengths, similarity, sorted_words
 from vouchwell.operators import benford, duplicates, shell_vendor, threshold, vote
 
 
@@ -198,14 +199,14 @@ def test_text_blocking_finds_every_similar_pair(spark):
                 letters.insert(at, str(rng.choice(list("abcd"))))
         texts.add("".join(letters))
     df = spark.createDataFrame([(t,) for t in sorted(texts)], "text string")
-    for cutoff in (70, 90):
+    for cutoff in (30, 55, 70, 90):
         got = {(r["text"], r["other_text"]) for r in duplicates.similar_texts(df, cutoff).collect()}
         expected = {
             (a, b) for a, b in product(texts, texts) if a != b and 200 * lcs(a, b) >= cutoff * (len(a) + len(b))
         }
         assert got == expected
     with pytest.raises(ValueError):
-        duplicates.similar_texts(df, 60)
+        duplicates.similar_texts(df, 0)
 
 
 def test_vote_over_all_flag_combinations(spark, make_invoices):
@@ -224,3 +225,26 @@ def test_vote_over_all_flag_combinations(spark, make_invoices):
     assert [r["final_prediction"] for r in voted.collect()] == [int(any(c)) for c in combos]
     summary = vote.vote_summary(voted).first()
     assert summary["total_invoices"] == 16 and summary["flagged_invoices"] == 15 and summary["benford_flags"] == 8
+
+
+def test_batches_of_common_subsequences():
+    draw = np.random.default_rng(3)
+    word = lambda n: "".join(draw.choice(list("abcdé 日"), n))
+    a = [word(n) for n in draw.choice([0, 1, 5, 20, 63, 64, 65, 90], 400)] + ["a\0b", ""]
+    b = [word(n) for n in draw.choice([0, 1, 7, 30, 64, 100], 400)] + ["a\0", "b"]
+    got = _common_lengths(pd.Series(a), pd.Series(b)).tolist()
+    assert got == [_common_length(x, y) for x, y in zip(a, b)]
+
+
+def test_hot_groups_are_cut_on_both_sides(make_invoices):
+    rows = [{"vendor_id": "V1", "invoice_date": dt.date(2025, 1, 1 + n % 8), "amount": 10.0 + n} for n in range(60)]
+    rows += [{"vendor_id": "V2", "invoice_date": dt.date(2025, 1, 1)} for _ in range(3)]
+    invoices = make_invoices(*rows)
+    pairs = sorted(duplicates.duplicate_pairs(invoices).collect())
+    assert pairs == sorted(duplicates.duplicate_pairs(invoices, hot_rows=4).collect()) and len(pairs) > 1_500
+
+
+def test_long_descriptions_and_low_cutoffs_finish(make_invoices):
+    text = " ".join(f"word{n:03d}" for n in range(25))
+    invoices = make_invoices(*[{"description": text}, {"description": text[:-1] + "x"}, {"description": text[::-1]}])
+    assert duplicates.duplicate_pairs(invoices).count() == 1

@@ -18,8 +18,7 @@ from vouchwell.storage import broadcast_if_small, materialize
 DATE_WINDOW_DAYS = 7
 AMOUNT_TOLERANCE = 1.0
 MIN_SIMILARITY = 90
-LOWEST_CUTOFF = 70
-HOT_PAIR_ROWS = 100_000
+HOT_PAIR_ROWS = 30_000
 MAX_SHARED_TEXTS = 20_000
 
 
@@ -39,8 +38,8 @@ def similar_texts(
     t; cut the shorter text into t + 1 segments and one of them survives unchanged in the
     longer text, at most t letters from its place.
     """
-    if min_similarity < LOWEST_CUTOFF:
-        raise ValueError(f"min_similarity must be at least {LOWEST_CUTOFF}")
+    if not 0 < min_similarity <= 100:
+        raise ValueError("min_similarity is a score above 0 and up to 100")
     slack = 100 - min_similarity
     sized = texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len"))
 
@@ -120,14 +119,9 @@ def _partners(rows: DataFrame, min_similarity: int, max_shared_texts: int) -> Da
 def _with_texts(rows: DataFrame, partners: DataFrame) -> DataFrame:
     """One row per description to look for: its own, then each similar one."""
     keys = [c for c in partners.columns if c in ("vendor_id", "text")]
-    listed = partners.groupBy(*keys).agg(F.collect_list(F.struct("other_text", "similarity")).alias("others"))
-    own = F.array(F.struct(F.col("text").alias("other_text"), F.lit(100.0).alias("similarity")))
-    wanted = F.when(F.col("others").isNull(), own).otherwise(F.concat(own, "others"))
-    return (
-        rows.join(broadcast_if_small(listed), keys, "left")
-        .withColumn("wanted", F.explode(wanted))
-        .select(*rows.columns, "wanted.other_text", "wanted.similarity")
-    )
+    own = rows.withColumns({"other_text": F.col("text"), "similarity": F.lit(100.0)})
+    others = rows.join(broadcast_if_small(partners), keys)
+    return own.unionByName(others.select(*own.columns))
 
 
 def _dated(invoices: DataFrame) -> DataFrame:
@@ -195,26 +189,31 @@ def duplicate_pairs(
 def _spread_hot_groups(
     earlier: DataFrame, later: DataFrame, keys: list[str], hot_rows: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Spread the earlier side of a heavy group over salts and repeat its later side."""
-    sizes = materialize(
-        earlier.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows), "hot_groups"
-    )
-    if sizes.isEmpty():
+    """Cut a group of many possible pairs into a grid of cells.
+
+    A group of more than ``hot_rows`` squared pairs is cut on both sides into as many parts as
+    the root of its cells; every part of one side meets every part of the other once.
+    """
+
+    def sizes(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    pairs = F.col("n_earlier").cast("double") * F.col("n_later")
+    hot = sizes(earlier, "n_earlier").join(sizes(later, "n_later"), keys).filter(pairs > float(hot_rows) ** 2)
+    hot = materialize(hot.select(*keys, F.ceil(F.sqrt(pairs) / hot_rows).cast("int").alias("parts")), "hot_groups")
+    if hot.isEmpty():
         return earlier, later, keys
-    # At most (rows / hot_rows) groups pass the filter above.
-    salts = F.broadcast(sizes.select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("salts")))
-    salt_count = F.coalesce("salts", F.lit(1))
-    earlier = (
-        earlier.join(salts, keys, "left")
-        .withColumn("salt", F.pmod(F.xxhash64("invoice_id"), salt_count).cast("int"))
-        .drop("salts")
-    )
-    later = (
-        later.join(salts, keys, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), salt_count - 1)))
-        .drop("salts")
-    )
-    return earlier, later, [*keys, "salt"]
+    hot = broadcast_if_small(hot)
+    parts = F.coalesce("parts", F.lit(1))
+    every = F.explode(F.sequence(F.lit(0), parts - 1))
+
+    def spread(side: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
+        side = side.join(hot, keys, "left").withColumn(own, F.pmod(F.xxhash64(id_col), parts).cast("int"))
+        return side.withColumn(other, every).drop("parts")
+
+    earlier = spread(earlier, "invoice_id", "left_part", "right_part")
+    later = spread(later, "matched_invoice", "right_part", "left_part")
+    return earlier, later, [*keys, "left_part", "right_part"]
 
 
 def candidate_counts(invoices: DataFrame, date_window: int = DATE_WINDOW_DAYS) -> DataFrame:

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vouchwell.operators.quantiles import exact_quantiles
 from vouchwell.sources.files import write_table
 
+# The descriptive columns of the output tables.
 METADATA_COLUMNS = [
     "invoice_id",
     "vendor_id",
@@ -27,7 +28,9 @@ METADATA_COLUMNS = [
     "approver",
 ]
 NUMERIC_TYPES = {"reference": {"bigint", "double"}, "all_numeric": {"bigint", "double", "int"}}
-MAX_CATEGORIES = 1_000_000
+ENCODER_SCHEMA = (
+    "position int, name string, kind string, median double, most_frequent string, mean double, scale double"
+)
 
 
 def separate_metadata(mart: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,14 +114,12 @@ def fit_encoder(mart: DataFrame, feature_set: str = "reference") -> Encoder:
     )
 
 
-def fit_vectorizer(encoded: DataFrame, encoder: Encoder, max_categories: int = MAX_CATEGORIES) -> PipelineModel:
+def fit_vectorizer(encoded: DataFrame, encoder: Encoder) -> PipelineModel:
     """Numeric columns followed by one column per category; unseen categories are all zero.
 
-    The indexer keeps its category lists on the driver, so their number is checked first.
+    The indexer keeps its category lists on the driver: this is the form of the matrix for
+    models whose own size grows with the categories. ``onehot_rows`` needs no list.
     """
-    counts = encoded.agg(*[F.approx_count_distinct(c).alias(c) for c in encoder.categorical]).first()
-    if sum(counts) > max_categories:
-        raise ValueError(f"about {sum(counts)} categories, more than max_categories={max_categories}")
     indexer = StringIndexer(
         inputCols=encoder.categorical,
         outputCols=[f"{c}_index" for c in encoder.categorical],
@@ -145,19 +146,51 @@ def feature_matrix(encoded: DataFrame, vectorizer: PipelineModel) -> DataFrame:
 
 
 def save_artifacts(folder: str, encoded: DataFrame, encoder: Encoder, vectorizer: PipelineModel) -> None:
-    """Vectorizer, feature names and the matrix with its metadata."""
+    """Encoder, vectorizer, feature names and the matrix with its metadata."""
     spark = encoded.sparkSession
+    save_encoder(spark, encoder, f"{folder}/encoder")
     vectorizer.write().overwrite().save(f"{folder}/vectorizer")
     names = list(enumerate(feature_names(vectorizer, encoder)))
     write_table(spark.createDataFrame(names, "position int, name string"), f"{folder}/feature_names")
     write_table(feature_matrix(encoded, vectorizer), f"{folder}/feature_matrix")
 
 
-def onehot_rows(encoded: DataFrame, encoder: Encoder, vectorizer: PipelineModel) -> DataFrame:
-    """The one-hot part of the matrix as (invoice_id, feature) rows."""
-    features = [
-        F.when(F.col(f"{c}_index") < len(values), F.concat(F.lit(f"categorical__{c}_"), F.col(c)))
-        for c, values in zip(encoder.categorical, vectorizer.stages[0].labelsArray)
-    ]
-    indexed = vectorizer.stages[0].transform(encoded)
-    return indexed.select("invoice_id", F.explode(F.array_compact(F.array(*features))).alias("feature"))
+def onehot_rows(encoded: DataFrame, encoder: Encoder, known: DataFrame | None = None) -> DataFrame:
+    """The one-hot part of the matrix as (invoice_id, feature) rows.
+
+    With ``known`` (column_name, value), categories that are not in it give no row.
+    """
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in encoder.categorical]
+    rows = encoded.select("invoice_id", F.inline(F.array(*entries))).filter(F.col("value").isNotNull())
+    if known is not None:
+        rows = rows.join(known.distinct(), ["column_name", "value"], "left_semi")
+    return rows.select("invoice_id", F.concat(F.lit("categorical__"), "column_name", F.lit("_"), "value").alias("feature"))
+
+
+def categories(encoded: DataFrame, encoder: Encoder) -> DataFrame:
+    """(column_name, value): every category that occurs."""
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in encoder.categorical]
+    return encoded.select(F.inline(F.array(*entries))).filter(F.col("value").isNotNull()).distinct()
+
+
+def save_encoder(spark: SparkSession, encoder: Encoder, path: str) -> None:
+    """One row per column, in order."""
+    rows = [(i, c, "numeric", encoder.fills[c], None, encoder.means[c], encoder.scales[c]) for i, c in enumerate(encoder.numeric)]
+    start = len(rows)
+    rows += [(start + i, c, "categorical", None, encoder.fills.get(c), None, None) for i, c in enumerate(encoder.categorical)]
+    write_table(spark.createDataFrame(rows, ENCODER_SCHEMA), path)
+
+
+def load_encoder(spark: SparkSession, path: str) -> Encoder:
+    rows = spark.read.schema(ENCODER_SCHEMA).parquet(path).orderBy("position").collect()
+    numeric = [r for r in rows if r["kind"] == "numeric"]
+    categorical = [r for r in rows if r["kind"] == "categorical"]
+    fills = {r["name"]: r["median"] for r in numeric}
+    fills |= {r["name"]: r["most_frequent"] for r in categorical if r["most_frequent"] is not None}
+    return Encoder(
+        [r["name"] for r in numeric],
+        [r["name"] for r in categorical],
+        fills,
+        {r["name"]: r["mean"] for r in numeric},
+        {r["name"]: r["scale"] for r in numeric},
+    )

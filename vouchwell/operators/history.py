@@ -19,8 +19,8 @@ from vouchwell.storage import broadcast_if_small, materialize
 MAX_GROUP_ROWS = 1_000_000
 ROLLING_ROWS = 5
 CARRIED = ROLLING_ROWS - 1
-MAX_CUTS = 1024
 SAMPLES_PER_CUT = 8
+ARRAY_ROWS = 20_000
 
 STATISTICS = {
     "vendor_invoice_count": F.count,
@@ -120,14 +120,14 @@ def _slice_starts(heavy: DataFrame, max_group_rows: int) -> tuple[DataFrame, Dat
 
 def _day_cuts(heavy: DataFrame, big_days: DataFrame, max_group_rows: int) -> DataFrame:
     """Id boundaries inside heavy days, from a hash sample of bounded size per day."""
-    pieces = F.least(F.ceil(F.col("n") / max_group_rows), F.lit(MAX_CUTS))
+    pieces = F.ceil(F.col("n") / max_group_rows)
     rated = big_days.select(
         F.col("vendor_id").alias("_vendor"),
         F.col("_day").alias("_cut_day"),
         F.greatest(F.lit(1), F.floor(F.col("n") / (pieces * SAMPLES_PER_CUT))).alias("every"),
     )
     sample = heavy.join(
-        F.broadcast(rated), F.col("vendor_id").eqNullSafe(F.col("_vendor")) & (F.col("_day") == F.col("_cut_day"))
+        broadcast_if_small(rated), F.col("vendor_id").eqNullSafe(F.col("_vendor")) & (F.col("_day") == F.col("_cut_day"))
     ).filter(F.pmod(F.xxhash64("invoice_id"), F.col("every")) == 0)
     ids = F.sort_array(F.collect_list("invoice_id"))
     return (
@@ -143,12 +143,11 @@ def _day_cuts(heavy: DataFrame, big_days: DataFrame, max_group_rows: int) -> Dat
 
 def _sliced_vendors(rows: DataFrame, vendor_rows: DataFrame, max_group_rows: int) -> DataFrame:
     # At most total_rows / max_group_rows vendors, and about twice as many slices.
-    heavy_vendors = F.broadcast(
-        vendor_rows.filter(F.col("n") > max_group_rows).select(F.col("vendor_id").alias("_vendor"))
-    )
+    heavy_vendors = vendor_rows.filter(F.col("n") > max_group_rows).select(F.col("vendor_id").alias("_vendor"))
+    heavy_vendors = broadcast_if_small(materialize(heavy_vendors, "heavy_vendors"))
     same_vendor = F.col("vendor_id").eqNullSafe(F.col("_vendor"))
     narrow = rows.select("vendor_id", "_day", "invoice_id", "amount", "invoice_date", "days_to_payment")
-    heavy = narrow.join(heavy_vendors, same_vendor, "left_semi")
+    heavy = materialize(narrow.join(heavy_vendors, same_vendor, "left_semi"), "heavy_rows")
 
     starts, big_days = _slice_starts(heavy, max_group_rows)
     starts = materialize(starts, "slice_starts")
@@ -158,10 +157,10 @@ def _sliced_vendors(rows: DataFrame, vendor_rows: DataFrame, max_group_rows: int
     def placed(df: DataFrame) -> DataFrame:
         in_day = same_vendor & (F.col("_day") == F.col("_cut_day"))
         return (
-            df.join(F.broadcast(starts), same_vendor, "left")
+            df.join(broadcast_if_small(starts, ARRAY_ROWS), same_vendor, "left")
             .withColumn("_slice", _position(F.col("_starts"), F.col("_day")))
             .drop("_vendor", "_starts")
-            .join(F.broadcast(cuts), in_day, "left")
+            .join(broadcast_if_small(cuts, ARRAY_ROWS), in_day, "left")
             .withColumn("_piece", _position(F.col("_cuts"), F.col("invoice_id")))
             .drop("_vendor", "_cut_day", "_cuts")
         )
@@ -197,9 +196,9 @@ def _sliced_vendors(rows: DataFrame, vendor_rows: DataFrame, max_group_rows: int
             {"_spend": F.sum(own_amount).over(to_date)} | {name: _statistic(name).over(piece) for name in STATISTICS}
         )
         .filter(F.col("_carried").isNull())
-        .join(F.broadcast(summary), same_piece, "left")
+        .join(broadcast_if_small(summary), same_piece, "left")
         .drop("_vendor")
-        .join(F.broadcast(totals), same_vendor, "left")
+        .join(broadcast_if_small(totals), same_vendor, "left")
     )
     rows_before = F.coalesce("rows_before", F.lit(0))
     # A day cut into pieces is a slice of its own, and all its rows share one running total.

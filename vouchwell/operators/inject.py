@@ -44,7 +44,8 @@ def inject_duplicates(
     id_scheme: str = "sequence",
 ) -> tuple[DataFrame, DataFrame]:
     """Invoices plus shifted copies of a sample, and the labels of the copies."""
-    shift = F.lit(1) + F.ascii(F.substring(F.md5("invoice_id"), 1, 1)) % max_date_shift
+    number = F.conv(F.substring(F.md5("invoice_id"), 1, 8), 16, 10).cast("bigint")
+    shift = (F.lit(1) + number % max_date_shift).cast("int")
     amount = money(F.col("amount") + amount_delta)
     tax_rate = F.try_divide("tax_amount", "amount")
     copies = (

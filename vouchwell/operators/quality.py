@@ -16,7 +16,8 @@ def _long(row: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
 
 
 def _fails(condition: Column) -> Column:
-    return F.count_if(~condition)
+    """A missing value fails as well."""
+    return F.count_if(~F.coalesce(condition, F.lit(False)))
 
 
 def dq_report(invoices: DataFrame) -> DataFrame:
@@ -65,6 +66,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def dataset_summary(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     """Row counts and the invoice date range, in one row."""
     vendor_rows = vendors.agg(F.count(F.lit(1)).alias("n")).scalar()
+    item_rows = line_items(invoices).agg(F.count(F.lit(1)).alias("n")).scalar()
     return invoices.agg(
         F.count(F.lit(1)).alias("total_invoices"),
         F.min("invoice_date").alias("first_date"),
@@ -72,7 +74,7 @@ def dataset_summary(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     ).select(
         vendor_rows.alias("total_vendors"),
         "total_invoices",
-        F.col("total_invoices").alias("total_line_items"),
+        item_rows.alias("total_line_items"),
         "first_date",
         "last_date",
     )

@@ -1,8 +1,8 @@
 """Exact quantiles with linear interpolation, for columns of any length.
 
 The built-in exact ``percentile`` keeps every distinct value in one task. Here a
-mergeable sketch brackets each quantile first; only values inside the brackets are then
-counted, and the two order statistics are read off exact counts.
+mergeable sketch brackets each quantile first, again and again until few values are left
+inside; those are then counted, and the two order statistics are read off exact counts.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 1000
 BRACKET = 4 / SKETCH_ACCURACY
-MAX_VALUES = 500_000
+MAX_VALUES = 50_000
 
 
 def exact_quantiles(
@@ -32,11 +32,10 @@ def exact_quantiles(
         if len(rows) > max_values:
             brackets = _narrower(values, open_targets, brackets, ranks)
             continue
+        below = values.agg(*[F.count_if(F.col(t[0]) < brackets[t][0]) for t in open_targets]).first()
         for k, target in enumerate(open_targets):
-            mine = [r for r in rows if r["target"] == k]
-            below = sum(r["n"] for r in mine if r["value"] is None)
-            sorted_values = sorted((r["value"], r["n"]) for r in mine if r["value"] is not None)
-            found[target] = _interpolated(sorted_values, below, ranks[target])
+            sorted_values = sorted((r["value"], r["n"]) for r in rows if r["target"] == k)
+            found[target] = _interpolated(sorted_values, below[k], ranks[target])
         open_targets = []
     return found
 
@@ -66,18 +65,13 @@ def _first_brackets(values: DataFrame, columns: list[str], probabilities: list[f
 
 
 def _counts_inside(values: DataFrame, targets: list, brackets: dict) -> DataFrame:
-    """(target, value, n) inside each bracket, and one NULL-valued row for all below it."""
+    """(target, value, n) of the values inside each bracket; the others never become rows."""
     entries = [
-        F.struct(
-            F.lit(k).alias("target"),
-            F.when(F.col(t[0]) >= brackets[t][0], F.col(t[0])).alias("value"),
-            (F.col(t[0]) <= brackets[t][1]).alias("wanted"),
-        )
+        F.when(F.col(t[0]).between(*brackets[t]), F.struct(F.lit(k).alias("target"), F.col(t[0]).alias("value")))
         for k, t in enumerate(targets)
     ]
     return (
-        values.select(F.inline(F.array(*entries)))
-        .filter("wanted")
+        values.select(F.inline(F.array_compact(F.array(*entries))))
         .groupBy("target", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -18,6 +18,7 @@ from vouchwell.operators import (
     history,
     iforest,
     inject,
+    lof,
     quality,
     shell_vendor,
     staging,
@@ -25,8 +26,8 @@ from vouchwell.operators import (
     vote,
 )
 from vouchwell.plans import jobs
-from vouchwell.sources import star
-from vouchwell.storage import materialize
+from vouchwell.sources import files, star
+from vouchwell.storage import materialize, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,7 +90,7 @@ def _threshold_flags(invoices: DataFrame) -> DataFrame:
 
 
 def _description_similarity(invoices: DataFrame) -> DataFrame:
-    scored = duplicates.similar_texts(duplicates.distinct_descriptions(invoices), duplicates.LOWEST_CUTOFF)
+    scored = duplicates.similar_texts(duplicates.distinct_descriptions(invoices), 70)
     return rounded(scored, {"similarity": 4})
 
 
@@ -109,6 +110,102 @@ def _eval_counts(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     return evaluate.outcome_counts(_evaluated(invoices, vendors, "both"), "final_prediction")
 
 
+# The source has no gaps, so some are cut into it by a digest of the id.
+GAPS = {"amount": "0", "quantity": "1", "unit_price": "2", "payment_date": "3", "due_date": "4", "currency": "5"}
+
+
+def _with_gaps(invoices: DataFrame) -> DataFrame:
+    first = F.substring(F.md5("invoice_id"), 1, 1)
+    return invoices.withColumns({c: F.when(first != digit, F.col(c)) for c, digit in GAPS.items()})
+
+
+def _csv_invoices(invoices: DataFrame) -> DataFrame:
+    """Written with its columns in another order and blanks around their names, read by name."""
+    spark, path = invoices.sparkSession, run_folder(invoices.sparkSession, "csv_invoices")
+    names = sorted(invoices.columns, reverse=True)
+    files.write_csv(invoices.select(*[F.col(n).alias(f" {n} ") for n in names]), path)
+    return files.read_invoices(spark, path)
+
+
+def _csv_vendors(vendors: DataFrame) -> DataFrame:
+    path = run_folder(vendors.sparkSession, "csv_vendors")
+    one_line = files.with_one_line_addresses(vendors)
+    files.write_csv(one_line.select(*reversed(vendors.columns)), path)
+    return files.read_vendors(vendors.sparkSession, path)
+
+
+def _csv_rule_table(invoices: DataFrame) -> DataFrame:
+    path = run_folder(invoices.sparkSession, "csv_benford")
+    flags = benford.benford_rule(invoices)
+    files.write_csv(flags, path)
+    return files.read_results(invoices.sparkSession, path, flags.schema)
+
+
+def _saved_vote(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    folder = run_folder(invoices.sparkSession, "rule_results")
+    jobs.save_rule_results(invoices, vendors, folder)
+    path = run_folder(invoices.sparkSession, "votes")
+    files.write_table(jobs.vote_from_results(invoices.sparkSession, invoices, folder), path)
+    return files.read_table(invoices.sparkSession, path)
+
+
+def _saved_injection(invoices: DataFrame) -> DataFrame:
+    folder = run_folder(invoices.sparkSession, "injection")
+    jobs.save_injection(invoices, folder, id_scheme="prefix")
+    return files.read_labels(invoices.sparkSession, f"{folder}/fraud_labels")
+
+
+def _zscored(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Every invoice with the size of its z-score as the error that a detector would give."""
+    mart = jobs.feature_mart(invoices, vendors)
+    error = round_half_up(F.abs("vendor_amount_zscore"), 4)
+    return materialize(mart.select(*encode.METADATA_COLUMNS, "amount", error.alias("reconstruction_error")), "zscores")
+
+
+def _zscore_labels(invoices: DataFrame, vendors: DataFrame) -> tuple[DataFrame, float]:
+    return autoencoder.labelled_errors(_zscored(invoices, vendors))
+
+
+def _score_threshold(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    limit = autoencoder.error_threshold(_zscored(invoices, vendors))
+    return rounded(invoices.sparkSession.createDataFrame([(limit,)], "threshold double"), {"threshold": 6})
+
+
+def _lowest_scores(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """The forest's and the outlier factor's way to label: the lowest scores are anomalies."""
+    scored = _zscored(invoices, vendors).withColumn("anomaly_score", -F.col("reconstruction_error"))
+    return iforest.labelled(scored, iforest.lowest_share(scored, "anomaly_score")).drop("reconstruction_error", "amount")
+
+
+def _vendor_points(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """One point per vendor, from all its invoices."""
+    profile = invoices.groupBy("vendor_id").agg(
+        (F.count(F.lit(1)) / 100).alias("n"), (F.avg("amount") / 10_000).alias("mean"), (F.max("amount") / 100_000).alias("top")
+    )
+    return profile.join(vendors, "vendor_id").select(
+        F.col("vendor_id").alias("invoice_id"),
+        F.array("n", "mean", "top").alias("x"),
+        F.array(F.xxhash64("vendor_category")).alias("c"),
+    )
+
+
+VENDOR_NEIGHBORS, VENDOR_CELL_ROWS = 5, 16
+
+
+def _vendor_neighbors(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Small cells, so that the join crosses several."""
+    return lof.nearest_neighbors(_vendor_points(invoices, vendors), VENDOR_NEIGHBORS, VENDOR_CELL_ROWS)
+
+
+def _encoded_again(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Encoded by an encoder that was saved and loaded."""
+    mart = materialize(jobs.feature_mart(invoices, vendors), "invoice_features")
+    path = run_folder(invoices.sparkSession, "encoder")
+    encode.save_encoder(invoices.sparkSession, encode.fit_encoder(mart), path)
+    encoder = encode.load_encoder(invoices.sparkSession, path)
+    return rounded(encoder.transform(mart).select("invoice_id", *encoder.numeric), dict.fromkeys(encoder.numeric, 4))
+
+
 REPORT_DIGITS = dict.fromkeys(["accuracy", "precision", "recall", "f1_score"], 6)
 
 
@@ -180,6 +277,36 @@ def rule_queries() -> dict[str, Query]:
             .union(quality.value_counts(v, "vendor_category"))
         ),
         "dataset_summary": _both(quality.dataset_summary),
+        "dq_report_gaps": _invoices(lambda i: quality.dq_report(_with_gaps(i))),
+        "injected_labels_wide": _invoices(
+            lambda i: inject.inject_duplicates(i, max_date_shift=30, id_scheme="prefix")[1]
+        ),
+        "csv_invoices": _invoices(_csv_invoices),
+        "csv_vendors": _vendors(_csv_vendors),
+        "csv_rule_table": _invoices(_csv_rule_table),
+        "saved_vote": _both(_saved_vote),
+        "saved_injection": _invoices(_saved_injection),
+        "score_threshold": _both(_score_threshold),
+        "score_labels": _both(
+            lambda i, v: _zscore_labels(i, v)[0].select("invoice_id", "reconstruction_error", "prediction")
+        ),
+        "score_histogram": _both(
+            lambda i, v: rounded(
+                autoencoder.error_histogram(*_zscore_labels(i, v)), dict.fromkeys(["lower", "upper", "threshold"], 6)
+            )
+        ),
+        "score_top": _both(lambda i, v: autoencoder.most_suspicious(_zscore_labels(i, v)[0])),
+        "score_summary": _both(lambda i, v: iforest.prediction_summary(_zscore_labels(i, v)[0])),
+        "lowest_score_labels": _both(
+            lambda i, v: _lowest_scores(i, v).select("invoice_id", "anomaly_score", "prediction")
+        ),
+        "lowest_score_top": _both(
+            lambda i, v: iforest.most_suspicious(_lowest_scores(i, v)).select("invoice_id", "anomaly_score", "prediction")
+        ),
+        "vendor_neighbors": _both(lambda i, v: rounded(_vendor_neighbors(i, v), {"distance": 6})),
+        "vendor_outlier_factors": _both(
+            lambda i, v: rounded(lof.outlier_factors(_vendor_neighbors(i, v)), {"anomaly_score": 6})
+        ),
         "null_profile": _both(lambda i, v: quality.null_profile(jobs.feature_mart(i, v))),
         "line_items": _invoices(quality.line_items),
     }
@@ -198,7 +325,7 @@ def _encoded_numeric(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
 
 def _encoded_onehot(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     data = jobs.prepared(invoices, vendors)
-    return encode.onehot_rows(data.encoded, data.encoder, encode.fit_vectorizer(data.encoded, data.encoder))
+    return encode.onehot_rows(data.encoded, data.encoder)
 
 
 def _forest_report(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -221,6 +348,7 @@ def model_queries() -> dict[str, Query]:
     return {
         "impute_stats": _both(_impute_stats),
         "encoded_numeric": _both(_encoded_numeric),
+        "scored_with_saved_encoder": _both(_encoded_again),
         "encoded_onehot": _both(_encoded_onehot),
         "iforest_predictions": _detector(jobs.isolation_forest),
         "iforest_top": _detector(jobs.isolation_forest, iforest.most_suspicious),

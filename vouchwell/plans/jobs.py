@@ -36,7 +36,12 @@ def save_mart(invoices: DataFrame, vendors: DataFrame, table: str = "invoice_fea
 
 
 def rule_vote(invoices: DataFrame, vendors: DataFrame, flag_side: str = "first") -> DataFrame:
-    """All four rules and their vote, in one lazy plan over the vendor-level flags."""
+    """All four rules and their vote.
+
+    The columns that the rules read are written first, so the source is read once; the
+    vendor-level flags and the similar descriptions are written before this returns, too.
+    """
+    invoices = materialize(invoices.select(*RULE_COLUMNS), "rule_columns")
     return vote.vote(
         invoices,
         benford.benford_rule(invoices),
@@ -54,6 +59,14 @@ def evaluated_vote(
     return evaluate.with_labels(rule_vote(augmented, vendors, flag_side), labels)
 
 
+def save_injection(invoices: DataFrame, folder: str, **injection) -> None:
+    """The augmented invoices and the labels of the copies, as CSV."""
+    augmented, labels = inject.inject_duplicates(invoices, **injection)
+    files.write_csv(augmented, f"{folder}/invoices")
+    files.write_csv(labels, f"{folder}/fraud_labels")
+
+
+RULE_COLUMNS = ["invoice_id", "vendor_id", "invoice_date", "amount", "description"]
 RULE_TABLES = ["benford_results", "threshold_results", "duplicate_results", "shell_vendor_results"]
 
 

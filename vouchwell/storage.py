@@ -2,11 +2,14 @@
 
 Intermediate tables go to the shared folder the session names in
 ``spark.checkpoint.dir``; they survive executor loss and, being parquet, give Spark
-real sizes to plan with.
+real sizes to plan with. A session without executors of its own, where the setting is
+missing, gets a folder that is removed when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,25 +26,31 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="vouchwell-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared place."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    path = run_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint behind a row count; beyond the bound Spark joins by shuffle.
 
-    Pass a table that is cheap to count: a file or a materialized result.
+    Pass a table that is cheap to count: a file or a materialized result. Rows are narrow;
+    tables with long arrays are given a lower bound.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
