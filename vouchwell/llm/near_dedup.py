@@ -14,8 +14,9 @@ sets form a class, and classes are the nodes of what follows.
 * Estimate: the likelihood of the register comparisons, with both set sizes known, gives the
   similarity; pairs that fall short by five standard deviations (``MARGIN``) go.
 * Verify: intersections of the full sets.
-* Larger buckets whose classes are not yet in one component are compared in tiles, and only
-  links that join components leave a tile, never all pairs.
+* In larger buckets whose classes are not yet in one component, the classes outside the
+  largest one are compared with all, in tiles; only links that join components leave a tile,
+  never all pairs.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; rows
 with a null id are linked with nothing, and are kept; rows that repeat id and text share a
@@ -48,6 +49,8 @@ FILLED = 12 * REGISTERS
 SMALL = 8
 TILE = 256
 MARGIN = 0.125
+#: Sets of similarity 0.8 share so many registers but for a chance of 1e-14 (the mean is 205 of 256).
+LEAST_EQUAL = 154
 
 _U = np.uint64
 
@@ -159,6 +162,15 @@ def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
     return materialize(rows.mapInArrow(run, f"id {kind}, n long, node string, sketch binary"), "sketches")
 
 
+def _band_keys(sketches: np.ndarray) -> np.ndarray:
+    """The bucket of every band, a row per sketch."""
+    bands = sketches[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(_U)
+    key = np.tile(np.arange(1, BANDS + 1, dtype=_U), (len(sketches), 1))
+    for row in range(ROWS):
+        key = _mix(key * _U(0x9E3779B97F4A7C15) + bands[:, :, row])
+    return key.view(np.int64)
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
     """(bucket, node) for every band of every class."""
 
@@ -166,12 +178,8 @@ def _bands(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            bands = held[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(_U)
-            key = np.tile(np.arange(1, BANDS + 1, dtype=_U), (len(held), 1))
-            for row in range(ROWS):
-                key = _mix(key * _U(0x9E3779B97F4A7C15) + bands[:, :, row])
-            columns = [pa.array(key.ravel().view(np.int64)), batch.column("node").take(pa.array(np.repeat(np.arange(len(held)), BANDS)))]
+            key = _band_keys(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS))
+            columns = [pa.array(key.ravel()), batch.column("node").take(pa.array(np.repeat(np.arange(len(key)), BANDS)))]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "node"])
 
     return nodes.select("node", "sketch").mapInArrow(run, "bucket long, node long")
@@ -222,21 +230,54 @@ def _verified(pairs: DataFrame, elements: DataFrame, similarity: int) -> DataFra
     return materialize(pairs.mapInArrow(check, "a long, b long"), "links")
 
 
-def _tiled(members: DataFrame, similarity: int) -> DataFrame:
-    """Links between different components within (bucket, left, right) tiles."""
+def _placed(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, label, size, held, minor) of the large buckets that hold several components.
+
+    A minor class is outside its bucket's largest component, and every pair of classes of
+    different components has one.
+    """
+    rows = large.select("bucket", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    counts = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    sums = counts.groupBy("bucket").agg(F.count("*").alias("labels"), F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("most"))
+    sums = sums.where("labels > 1").select("bucket", F.col("most.label").alias("largest"), F.col("most.n").alias("held"), "size")
+    sums = materialize(sums, "open_buckets")
+    return rows.join(broadcast_if_small(sums), "bucket").withColumn("minor", F.col("label") != F.col("largest"))
+
+
+def _tiled(placed: DataFrame, nodes: DataFrame, elements: DataFrame, similarity: int) -> DataFrame:
+    """Links between different components: tiles of minor classes against tiles of all of their bucket.
+
+    Two classes may share many buckets; they are compared in that of the first band they share.
+    """
+    rows = placed.withColumns({"lefts": F.ceil((F.col("size") - F.col("held")) / TILE), "rights": F.ceil(F.col("size") / TILE)})
+    own = lambda count: F.pmod(F.xxhash64("node", F.lit(7)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count).cast("int") - 1))
+    asked = rows.where("minor").withColumns({"left": own("lefts"), "asks": F.lit(True)}).withColumn("right", every("rights"))
+    held = rows.withColumns({"right": own("rights"), "asks": F.lit(False)}).withColumn("left", every("lefts"))
+    members = asked.select("bucket", "left", "right", "asks", "node", "label").unionByName(
+        held.select("bucket", "left", "right", "asks", "node", "label")
+    )
+    members = members.join(nodes.select("node", "n", "sketch"), "node").join(elements, "node")
+
+    least = LEAST_EQUAL * similarity // SIMILARITY
 
     def run(table: pa.Table) -> pa.Table:
         node, label = table.column("node").to_numpy(), table.column("label").to_numpy().copy()
-        n, tile, left, right = (table.column(c).to_numpy() for c in ("n", "tile", "left", "right"))
-        held = [np.frombuffer(x.as_buffer(), _U) for x in table.column("elements").combine_chunks()]
+        n, asks = table.column("n").to_numpy(), table.column("asks").to_numpy()
+        sets_held = [np.frombuffer(x.as_buffer(), _U) for x in table.column("elements").combine_chunks()]
         marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        band = int(np.flatnonzero(_band_keys(marks[:1])[0] == table.column("bucket")[0].as_py())[0])
         out = []
-        for i in np.flatnonzero(tile == left[0]):
-            others = np.flatnonzero((tile == right[0]) & (label != label[i]))
+        for i in np.flatnonzero(asks):
+            others = np.flatnonzero(~asks & (label != label[i]))
+            equal = marks[others] == marks[i]
+            near = equal.sum(axis=1) >= least
+            others, equal = others[near], equal[near, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+            others = others[equal.all(axis=2).argmax(axis=1) == band]
             if len(others):
                 guess = estimate(np.broadcast_to(marks[i], (len(others), REGISTERS)), marks[others], np.full(len(others), n[i]), n[others])
                 for j in others[guess >= similarity / 100 - MARGIN]:
-                    if label[j] != label[i] and _linked(held[i], held[j], similarity):
+                    if label[j] != label[i] and _linked(sets_held[i], sets_held[j], similarity):
                         label[label == label[j]] = label[i]
                         out.append((node[i], node[j]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
@@ -266,19 +307,9 @@ def group(
     elements = _sets_of(docs, materialize(nodes.join(wanted, "node").select("node", "id"), "wanted"), width, id_col, text_col)
     links = _verified(pairs, elements, similarity)
     labels = components(links)
-    # Large buckets whose classes are not all in one component yet, each distinct one once.
-    placed = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mark = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
-    apart = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), mark.alias("mark"), F.count("*").alias("size"))
-    apart = apart.where("low <> high").groupBy("mark", "size").agg(F.min("bucket").alias("bucket"))
-    apart = materialize(apart.select("bucket", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "open_buckets")
-    if apart.head(1):
-        members = placed.drop("size", "hub").join(apart, "bucket")
-        members = members.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(7)), F.col("tiles")).cast("int"))
-        members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        members = members.withColumns({"left": F.least("tile", "other"), "right": F.greatest("tile", "other")})
-        members = members.join(nodes.select("node", "n", "sketch"), "node").join(elements, "node")
-        more = _tiled(members.select("bucket", "left", "right", "tile", "node", "label", "n", "sketch", "elements"), similarity)
+    placed = _placed(large, labels)
+    if placed.head(1):
+        more = _tiled(materialize(placed, "open_members"), nodes, elements, similarity)
         labels = components(links.unionByName(more))
     own = sketched.select("id", "n", F.when(F.col("id").isNotNull(), F.xxhash64("node")).alias("node"))
     own = own.withColumn("node", F.when(F.col("n") > 0, F.col("node")))
