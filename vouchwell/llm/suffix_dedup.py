@@ -170,12 +170,17 @@ def _merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _among(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows that a written table names, or with "left_anti" the others; only its keys are ever broadcast."""
+    return rows.join(broadcast_if_small(table.select(*keys)), keys, how)
+
+
 def _run_texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` (key, print, at, first, last, anchor, run, times) with the bytes of each run, written."""
     held = ["at", "first", "last", "anchor", "run", "times"]
     per_doc = materialize(wanted.groupBy("key", "print").agg(F.collect_list(F.struct(*held)).alias("runs")), "runs_by_document")
     text = rows.select(F.col("__key").alias("key"), F.col("__print").alias("print"), F.col("__text").alias("text"))
-    joined = text.join(broadcast_if_small(per_doc), ["key", "print"]).dropDuplicates(["key", "print"])
+    joined = _among(text, per_doc, ["key", "print"]).join(per_doc, ["key", "print"]).dropDuplicates(["key", "print"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE_CHARS):
@@ -272,7 +277,9 @@ def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__ranges")
     )
     ranges = materialize(ranges.withColumnsRenamed({"key": "__key", "print": "__print"}), "ranges")
-    return rows.join(broadcast_if_small(ranges), ["__key", "__print"], "left")
+    keys = ["__key", "__print"]
+    untouched = _among(rows, ranges, keys, "left_anti").withColumn("__ranges", F.lit(None).cast(ranges.schema["__ranges"].dataType))
+    return _among(rows, ranges, keys).join(ranges, keys).unionByName(untouched)
 
 
 def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
