@@ -26,6 +26,8 @@ HEADLINE = [
     "dq_report",
     "amount_profile",
     "encoded_numeric",
+    "encoded_onehot",
+    "score_labels",
     "iforest_predictions",
 ]
 
