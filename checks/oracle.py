@@ -532,6 +532,15 @@ def score_oracles() -> dict[str, str]:
     labels = "SELECT invoice_id, fraud_label, fraud_type, source_invoice, parameters FROM truth"
     plain = {
         "dq_report_gaps": _dq("gappy"),
+        "max_invoice_number": r"""SELECT max(CAST(regexp_extract(invoice_id, '(\d+)', 1) AS BIGINT)) AS max_number
+            FROM inv""",
+        "injected_sequence_ids": r"""SELECT printf('INV%06d', (SELECT max(CAST(regexp_extract(invoice_id, '(\d+)', 1)
+                AS BIGINT)) FROM inv) + row_number() OVER (ORDER BY md5(invoice_id || '|42'), invoice_id))
+                AS invoice_id, invoice_id AS source_invoice FROM picked""",
+        "mart_metadata": f"SELECT {METADATA} FROM mart",
+        "mart_features": f"SELECT * EXCLUDE ({METADATA.replace('invoice_id, ', '', 1)}) FROM mart",
+        "autoencoder_split": """SELECT invoice_id, ('0x' || left(md5(invoice_id || '|42'), 15))::BIGINT % 100 < 20
+            AS validation FROM inv""",
         "csv_invoices": "SELECT * FROM inv",
         "csv_vendors": "SELECT * REPLACE (replace(vendor_address, chr(10), ', ') AS vendor_address) FROM ven",
         "csv_rule_table": "SELECT * FROM benford",

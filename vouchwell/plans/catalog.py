@@ -281,6 +281,13 @@ def rule_queries() -> dict[str, Query]:
         "injected_labels_wide": _invoices(
             lambda i: inject.inject_duplicates(i, max_date_shift=30, id_scheme="prefix")[1]
         ),
+        "max_invoice_number": _invoices(inject.max_invoice_number),
+        "injected_sequence_ids": _invoices(
+            lambda i: inject.inject_duplicates(i)[1].select("invoice_id", "source_invoice")
+        ),
+        "mart_metadata": _both(lambda i, v: encode.separate_metadata(jobs.feature_mart(i, v))[1]),
+        "mart_features": _both(lambda i, v: rounded(encode.separate_metadata(jobs.feature_mart(i, v))[0])),
+        "autoencoder_split": _invoices(lambda i: i.select("invoice_id", autoencoder.held_out().alias("validation"))),
         "csv_invoices": _invoices(_csv_invoices),
         "csv_vendors": _vendors(_csv_vendors),
         "csv_rule_table": _invoices(_csv_rule_table),
