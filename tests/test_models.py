@@ -176,3 +176,11 @@ def test_wide_categories_and_saved_encoder(spark, tmp_path):
     assert encode.onehot_rows(encoded, encoder, known.limit(0)).count() == 0
     encode.save_encoder(spark, encoder, str(tmp_path / "encoder"))
     assert encode.load_encoder(spark, str(tmp_path / "encoder")) == encoder
+    forest = iforest.fit_forest(encoded, encoder, n_trees=5)
+    iforest.save_forest(spark, forest, str(tmp_path / "forest"))
+    again = iforest.load_forest(spark, str(tmp_path / "forest"))
+    score = lambda f: sorted(map(tuple, iforest.with_scores(encoded, f).select("invoice_id", "raw_score").collect()))
+    assert score(again) == score(forest)
+    autoencoder.save_model(spark, model, str(tmp_path / "autoencoder"))
+    loaded = autoencoder.load_model(spark, str(tmp_path / "autoencoder"))
+    assert loaded.epochs == model.epochs and loaded.network == model.network and (loaded.state == model.state).all()
