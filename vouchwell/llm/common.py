@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -23,6 +24,21 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within, tables that are written move to Python in Arrow batches of so many rows.
+
+    Spark bounds a batch by rows alone, so long rows need fewer for the same memory.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one slice hold about ``most`` bytes, or a single row."""
     for batch in batches:

@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchwell.llm.common import PIECE_CHARS, slices, text_of
+from vouchwell.llm.common import PIECE_CHARS, batches_of, slices, text_of
 from vouchwell.llm.components import components
 from vouchwell.llm.wordcache import coded
 from vouchwell.storage import broadcast_if_small, materialize
@@ -47,7 +47,8 @@ BANDS = REGISTERS // ROWS
 RATE, BASE, TOP = 20.0, 1.001, (1 << 16) - 1
 FILLED = 12 * REGISTERS
 SMALL = 8
-TILE = 256
+TILE = 1_024
+LONG_ROWS = 500
 MARGIN = 0.125
 #: Sets of similarity 0.8 share so many registers but for a chance of 1e-14 (the mean is 205 of 256).
 LEAST_EQUAL = 154
@@ -159,7 +160,8 @@ def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
             columns = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.string()), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "sketch"])
 
-    return materialize(rows.mapInArrow(run, f"id {kind}, n long, node string, sketch binary"), "sketches")
+    with batches_of(docs.sparkSession, LONG_ROWS):
+        return materialize(rows.mapInArrow(run, f"id {kind}, n long, node string, sketch binary"), "sketches")
 
 
 def _band_keys(sketches: np.ndarray) -> np.ndarray:
@@ -198,7 +200,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_c
 
     found = rows.select("node", "text").mapInArrow(run, "node long, print string, elements binary")
     found = found.where(F.xxhash64("print") == F.col("node")).drop("print")  # rows may repeat an id
-    return materialize(found.dropDuplicates(["node"]), "sets")
+    with batches_of(docs.sparkSession, LONG_ROWS):
+        return materialize(found.dropDuplicates(["node"]), "sets")
 
 
 def _pairs_filtered(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
@@ -214,7 +217,8 @@ def _pairs_filtered(pairs: DataFrame, nodes: DataFrame, similarity: int) -> Data
                 guess = estimate(a, b, n_a, n_b)
                 yield batch.select(["a", "b"]).filter(pa.array(guess >= similarity / 100 - MARGIN))
 
-    return materialize(pairs.mapInArrow(likely, "a long, b long"), "candidates")
+    with batches_of(pairs.sparkSession, LONG_ROWS):
+        return materialize(pairs.mapInArrow(likely, "a long, b long"), "candidates")
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, similarity: int) -> DataFrame:
@@ -227,7 +231,8 @@ def _verified(pairs: DataFrame, elements: DataFrame, similarity: int) -> DataFra
             keep = [_linked(*(np.frombuffer(x.as_buffer(), _U) for x in pair), similarity) for pair in ends]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return materialize(pairs.mapInArrow(check, "a long, b long"), "links")
+    with batches_of(pairs.sparkSession, LONG_ROWS):
+        return materialize(pairs.mapInArrow(check, "a long, b long"), "links")
 
 
 def _placed(large: DataFrame, labels: DataFrame) -> DataFrame:
