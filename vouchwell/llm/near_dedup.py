@@ -262,7 +262,7 @@ def _tiled(placed: DataFrame, nodes: DataFrame, elements: DataFrame, similarity:
     members = asked.select("bucket", "left", "right", "asks", "node", "label").unionByName(
         held.select("bucket", "left", "right", "asks", "node", "label")
     )
-    members = members.join(nodes.select("node", "n", "sketch"), "node").join(elements, "node")
+    members = members.join(nodes.select("node", "n", "sketch").join(elements, "node"), "node")
 
     least = LEAST_EQUAL * similarity // SIMILARITY
 
