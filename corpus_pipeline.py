@@ -11,7 +11,8 @@ from vouchwell.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxici
 from vouchwell.llm.common import table
 from vouchwell.storage import materialize
 
-REPEATED_BYTES = 400
+#: Passages of over 50 words, found by anchors of 13.
+REPEATED_WORDS, ANCHOR_WORDS = 51, 13
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -31,8 +32,8 @@ def dissimilar(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Passages of ``REPEATED_BYTES`` that occur again anywhere leave the texts; n_chars follows."""
-    return suffix_dedup.remove(docs, length=REPEATED_BYTES, chars_col="n_chars")
+    """Passages of ``REPEATED_WORDS`` that occur again anywhere leave the texts; n_chars follows."""
+    return suffix_dedup.remove(docs, length=REPEATED_WORDS, gram=ANCHOR_WORDS, chars_col="n_chars", words=True)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -53,6 +53,25 @@ def test_each_stage_takes_effect_and_leaves_the_rest_alone(spark, folder):
     assert sizes == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in final.items()}
 
 
+def test_passages_of_over_50_words_leave_the_texts(spark, prose):
+    """Short words: none of these passages holds 400 bytes."""
+    short = lambda seed, n: " ".join(prose(seed, n).encode()[k : k + 3].decode().replace(" ", "x") for k in range(0, 3 * n, 3))
+    passages = {n: short(8000 + n, n) for n in (30, 50, 51, 60, 70)}
+    assert all(len(p) < 400 and len(p.split()) == n for n, p in passages.items())
+    rows, ends = [], {}
+    for n, passage in passages.items():
+        for copy in range(3):
+            head, tail = prose(9000 + 10 * n + copy, 20 + copy), prose(9500 + 10 * n + copy, 40)
+            rows.append((10 * n + copy, f"{head}\n{passage} {tail}"))
+            ends[10 * n + copy] = (head, tail)
+    two = [(1000 + k, " ".join([prose(k, 9), *parts])) for k, parts in enumerate([[passages[30], short(1, 40)], [short(1, 40)], [passages[30]]])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows + two], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r for r in corpus_pipeline.unrepeated(spark, docs, "").collect()}
+    for i, text in rows + two:  # the last: two short passages side by side are none of over 50 words
+        expected = text if i // 10 <= 50 or i >= 1000 else "\n ".join(ends[i])
+        assert (found[i].text, found[i].n_chars) == (expected, len(expected))
+
+
 def test_run_applies_all_stages(spark, folder):
     place, _, _ = folder
     found = corpus_pipeline.run(spark, place)

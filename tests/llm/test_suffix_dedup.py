@@ -1,6 +1,7 @@
 import hashlib
 import os
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -72,5 +73,40 @@ def test_remove_keeps_columns_and_drops_cut_characters(documents, rows):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept)
 
 
+def brute_words(text, texts, length):
+    split = lambda t: [m.span() for m in re.finditer(r"[\u3000-\u9fff]|[^ \t-\r\u3000-\u9fff]+", t)]
+    count = Counter()
+    for t in texts:
+        own = [t[a:b] for a, b in split(t)]
+        count.update(tuple(own[k : k + length]) for k in range(len(own) - length + 1))
+    places = split(text)
+    own = [text[a:b] for a, b in places]
+    gone = [False] * len(own)
+    for k in range(len(own) - length + 1):
+        if count[tuple(own[k : k + length])] > 1:
+            gone[k : k + length] = [True] * length
+    kept, at = "", 0
+    for k, (a, _) in enumerate(places):
+        if gone[k] and (k == 0 or not gone[k - 1]):
+            kept += text[at:a]
+        if gone[k]:
+            at = places[k][1]
+    return kept + text[at:]
+
+
+@pytest.mark.parametrize(("most_runs", "pairwise", "piece_bits"), [(4096, 64, 20), (1, 64, 20), (4096, 0, 9)])
+def test_removed_words_match_brute_force(documents, rows, monkeypatch, most_runs, pairwise, piece_bits):
+    monkeypatch.setattr(suffix_dedup, "PAIRWISE", pairwise)
+    monkeypatch.setattr(suffix_dedup, "_PIECE", 1 << piece_bits)
+    han = "".join(chr(0x4E00 + k * 37 % 5000) for k in range(30))
+    more = [(200, f"{han[2:]} tail"), (201, f"a{han}b"), (202, " \n\t "), (203, "\n".join(rows[4][1].split(" "))), (204, "ab " * 300)]
+    docs = [r for r in rows if r[0] not in (106, 107)] + more
+    found = suffix_dedup.remove(documents(docs).repartition(3), length=12, gram=4, words=True, chars_col="n_chars", most_runs=most_runs).collect()
+    texts = [t or "" for _, t in docs]
+    expected = [(i, None if t is None else brute_words(t, texts, 12)) for i, t in docs]
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(expected, key=str)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found)
+
+
 def test_empty_table(documents):
     assert suffix_dedup.measure(documents([])).count() == 0 and suffix_dedup.remove(documents([])).count() == 0

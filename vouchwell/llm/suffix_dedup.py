@@ -17,6 +17,11 @@ so equal windows have equal anchors at equal distances, and about one position i
 
 Hashes have 64 bits and are joined with the anchor's own.
 
+With ``words`` all of this counts words in place of bytes: a word is what stands between ASCII
+white space, and a Chinese or Japanese character (U+3000 to U+9FFF) is one of its own. Words
+are compared by 64-bit hash, whatever white space stands between them; what goes reaches from
+the first byte of the first word to the last byte of the last.
+
 Defined results: null text counts as empty; texts shorter than ``length`` keep all bytes;
 matches within a document count; rows that repeat a text lose it where it has ``length``
 bytes; an empty table gives an empty result; other columns are kept by ``remove``.
@@ -43,6 +48,8 @@ MOST_RUNS = 4_096
 PAIRWISE = 64
 
 _U = np.uint64
+_SPACES = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
+WORD_BYTES = 8
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE_BITS = 20
@@ -73,16 +80,59 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
+def _places(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, starts, ends) of the words of a text, by pieces that end at white space."""
+    at = 0
+    while at < len(text):
+        end = at + _PIECE
+        if end < len(text):
+            cut = max(text.rfind(x, at, end) for x in _SPACES)
+            cuts = [cut] if cut > at else [x for x in (text.find(x, end) for x in _SPACES) if x >= 0]
+            end = min(cuts, default=len(text))
+        yield _piece_words(text[at:end], at)
+        at = end
+
+
+def _piece_words(text: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = np.frombuffer(text, np.uint8)
+    real = (data != 32) & ((data < 9) | (data > 13))
+    lead = (data >= 0xE3) & (data <= 0xE9)
+    alone = lead.copy()
+    alone[1:] |= lead[:-1]
+    alone[2:] |= lead[:-2]
+    fresh = real & (lead | np.append(True, ~real[:-1] | (alone[:-1] & ~alone[1:])))
+    starts = np.flatnonzero(fresh)
+    if not len(starts):
+        return np.zeros(0, _U), starts, starts
+    ends = np.flatnonzero(real & np.append(~real[1:] | fresh[1:], True)) + 1
+    far = np.arange(len(data)) - starts[np.maximum(np.cumsum(fresh) - 1, 0)]
+    far[~real] = 0
+    values = np.where(real, _TABLE[data], _U(0)) * _both_powers(int(far.max()) + 1)[0][far]
+    hashes = _mix(np.add.reduceat(values, starts) + (ends - starts).astype(_U)) | _U(1)
+    return hashes, starts + offset, ends + offset
+
+
+def _units(text: bytes, words: bool) -> bytes | np.ndarray:
+    """What is counted: the bytes themselves, or the hashes of the words."""
+    if not words:
+        return text
+    return np.concatenate([np.zeros(0, _U), *(x[0] for x in _places(text))])
+
+
+def _numbers(units: bytes | np.ndarray) -> np.ndarray:
+    return _TABLE[np.frombuffer(units, np.uint8)] if isinstance(units, bytes) else units
+
+
+def anchors(text: bytes | np.ndarray, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
     """[position, first and last window start, hash of the anchor, hash of the run] of a text's anchors."""
     found = [_piece_anchors(text[a : a + _PIECE], a, length, gram) for a in range(0, max(len(text) - length + 1, 0), _PIECE - length + 1)]
     return [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
 
 
-def _piece_anchors(text: bytes, offset: int, length: int, gram: int) -> list[np.ndarray]:
+def _piece_anchors(text: bytes | np.ndarray, offset: int, length: int, gram: int) -> list[np.ndarray]:
     n = len(text)
     up, down = _both_powers(n + 1)
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(_TABLE[np.frombuffer(text, np.uint8)] * up[:n], dtype=_U)])
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(_numbers(text) * up[:n], dtype=_U)])
     hashes = _mix((sums[gram:] - sums[: n + 1 - gram]) * down[: n + 1 - gram])
     place = np.arange(len(hashes), dtype=_U)
     low = _U(_PIECE - 1)
@@ -101,12 +151,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumns({"__key": F.xxhash64(id_col, "__text"), "__print": F.xxhash64("__text", id_col)})
 
 
-def _all_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def _all_anchors(rows: DataFrame, length: int, gram: int, words: bool) -> DataFrame:
     names = ["key", "print", "at", "first", "last", "anchor", "run"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE_CHARS):
-            found = [anchors(x.as_buffer().to_pybytes(), length, gram) for x in batch.column("text")]
+            found = [anchors(_units(x.as_buffer().to_pybytes(), words), length, gram) for x in batch.column("text")]
             owner = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
             columns = [batch.column(c).take(owner) for c in ("key", "print")]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.concatenate(c)) for c in zip(*found, strict=True))], names)
@@ -115,15 +165,16 @@ def _all_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return materialize(text.mapInArrow(find, ", ".join(f"{c} long" for c in names)), "anchors")
 
 
-def repeated_windows(runs: list[bytes], heads: list[int], length: int) -> list[list[tuple[int, int]]]:
+def repeated_windows(runs: list[bytes], heads: list[int], length: int, unit: int = 1) -> list[list[tuple[int, int]]]:
     """For runs with one anchor: ranges of distances (window start to anchor) whose windows another run has.
 
-    ``heads`` is how many bytes of a run lie before its anchor.
+    ``heads`` is how many units, of ``unit`` bytes each, of a run lie before its anchor.
     """
-    after = [run[head:] for run, head in zip(runs, heads, strict=True)]
-    before = [run[:head][::-1] for run, head in zip(runs, heads, strict=True)]
+    after = [run[head * unit :] for run, head in zip(runs, heads, strict=True)]
+    before = [run[: head * unit][::-1] for run, head in zip(runs, heads, strict=True)]
     sorted_after, shared_after = deep_shallow(after)
     sorted_before, shared_before = deep_shallow(before)
+    shared_after, shared_before = ([n // unit for n in x] for x in (shared_after, shared_before))
     g = len(runs)
     if g <= PAIRWISE:
         ahead, back = _pairwise(sorted_after, shared_after), _pairwise(sorted_before, shared_before)
@@ -138,7 +189,7 @@ def repeated_windows(runs: list[bytes], heads: list[int], length: int) -> list[l
         one, two = np.empty(g, np.int64), np.empty(g, np.int64)
         one[sorted_after] = np.cumsum(drop_after < length - k)
         two[sorted_before] = np.cumsum(drop_before < k)
-        fits = np.array([len(a) >= length - k and len(b) >= k for a, b in zip(after, before, strict=True)])
+        fits = np.array([len(a) >= (length - k) * unit and len(b) >= k * unit for a, b in zip(after, before, strict=True)])
         _, kind, count = np.unique(one * (g + 1) + two, return_inverse=True, return_counts=True)
         # Rows too short for this distance share no class of that depth with another.
         for i in np.flatnonzero((count[kind] > 1) & fits):
@@ -175,8 +226,8 @@ def _among(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left_
     return rows.join(broadcast_if_small(table.select(*keys)), keys, how)
 
 
-def _run_texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``wanted`` (key, print, at, first, last, anchor, run, times) with the bytes of each run, written."""
+def _run_texts(rows: DataFrame, wanted: DataFrame, length: int, words: bool) -> DataFrame:
+    """``wanted`` (key, print, at, first, last, anchor, run, times) with the bytes or word hashes of each run, written."""
     held = ["at", "first", "last", "anchor", "run", "times"]
     per_doc = materialize(wanted.groupBy("key", "print").agg(F.collect_list(F.struct(*held)).alias("runs")), "runs_by_document")
     text = rows.select(F.col("__key").alias("key"), F.col("__print").alias("print"), F.col("__text").alias("text"))
@@ -186,14 +237,15 @@ def _run_texts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         for batch in slices(batches, "text", PIECE_CHARS):
             out = []
             for key, mark, text, runs in zip(*(batch.column(c).to_pylist() for c in ("key", "print", "text", "runs")), strict=True):
-                out += [{"key": key, "print": mark, **run, "text": text[run["first"] : run["last"] + length]} for run in runs]
+                units = _units(text, words)
+                out += [{"key": key, "print": mark, **run, "text": bytes(units[run["first"] : run["last"] + length])} for run in runs]
             yield pa.RecordBatch.from_pylist(out, schema=types)
 
     types = pa.schema([(c, pa.int64()) for c in ("key", "print", *held)] + [("text", pa.binary())])
     return materialize(joined.mapInArrow(cut, ", ".join(f"{c} long" for c in ("key", "print", *held)) + ", text binary"), "run_texts")
 
 
-def _sorted_groups(texts: DataFrame, length: int) -> DataFrame:
+def _sorted_groups(texts: DataFrame, length: int, words: bool) -> DataFrame:
     """(key, print, start, end) of what repeats of runs that occur once, by sorting each anchor's runs."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +254,7 @@ def _sorted_groups(texts: DataFrame, length: int) -> DataFrame:
         def ranges(group: list[dict]) -> list[tuple[int, int, int, int]]:
             if len(group) < 2:
                 return []
-            found = repeated_windows([x["text"] for x in group], [x["at"] - x["first"] for x in group], length)
+            found = repeated_windows([x["text"] for x in group], [x["at"] - x["first"] for x in group], length, WORD_BYTES if words else 1)
             out = []
             for run, parts in zip(group, found, strict=True):
                 if run["times"] == 1:
@@ -230,15 +282,16 @@ def _sorted_groups(texts: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(settle, "key long, print long, start long, end long")
 
 
-def _counted_windows(texts: DataFrame, length: int) -> DataFrame:
+def _counted_windows(texts: DataFrame, length: int, words: bool) -> DataFrame:
     """The same for anchors of any number of runs: a row a window, counted by hash."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in batch.to_pylist():
-                n = len(run["text"])
+                values = _numbers(np.frombuffer(run["text"], _U) if words else run["text"])
+                n = len(values)
                 up, down = _both_powers(n + 1)
-                sums = np.concatenate([np.zeros(1, _U), np.cumsum(_TABLE[np.frombuffer(run["text"], np.uint8)] * up[:n], dtype=_U)])
+                sums = np.concatenate([np.zeros(1, _U), np.cumsum(values * up[:n], dtype=_U)])
                 own = _mix((sums[length:] - sums[: n + 1 - length]) * down[: n + 1 - length]).view(np.int64)
                 count = len(own)
                 start = run["first"] + np.arange(count)
@@ -253,9 +306,9 @@ def _counted_windows(texts: DataFrame, length: int) -> DataFrame:
     return found.select("key", "print", "start", (F.col("start") + length).alias("end"))
 
 
-def repeats(rows: DataFrame, length: int, gram: int, most_runs: int) -> DataFrame:
-    """(key, print, start, end): byte ranges that go; they may overlap."""
-    found = _all_anchors(rows, length, gram)
+def repeats(rows: DataFrame, length: int, gram: int, most_runs: int, words: bool = False) -> DataFrame:
+    """(key, print, start, end): ranges of bytes or words that go; they may overlap."""
+    found = _all_anchors(rows, length, gram, words)
     example = F.min(F.struct("key", "print", "at", "first", "last")).alias("example")
     runs = materialize(found.groupBy("anchor", "run").agg(F.count("*").alias("times"), example), "runs")
     several = runs.where("times > 1").select("anchor", "run")
@@ -263,17 +316,19 @@ def repeats(rows: DataFrame, length: int, gram: int, most_runs: int) -> DataFram
     kinds = runs.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("times").alias("least")).where("kinds > 1 AND least = 1")
     wanted = runs.join(kinds.drop("least"), "anchor").select("anchor", "run", "times", "kinds", "example.*")
     wanted = materialize(wanted, "open_runs")
-    texts = _run_texts(rows, wanted.drop("kinds"), length)
+    texts = _run_texts(rows, wanted.drop("kinds"), length, words)
     hot = materialize(wanted.where(F.col("kinds") > most_runs).select("anchor").distinct(), "hot_anchors")
-    out = settled.unionByName(_sorted_groups(texts.join(broadcast_if_small(hot), "anchor", "left_anti"), length))
+    out = settled.unionByName(_sorted_groups(texts.join(broadcast_if_small(hot), "anchor", "left_anti"), length, words))
     if hot.head(1):
-        out = out.unionByName(_counted_windows(texts.join(broadcast_if_small(hot), "anchor", "left_semi"), length))
+        out = out.unionByName(_counted_windows(texts.join(broadcast_if_small(hot), "anchor", "left_semi"), length, words))
     return out
 
 
-def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, most_runs: int) -> DataFrame:
+def _with_ranges(
+    docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, most_runs: int, words: bool = False
+) -> DataFrame:
     rows = _keyed(docs, id_col, text_col)
-    ranges = repeats(rows, length, gram, most_runs).groupBy("key", "print").agg(
+    ranges = repeats(rows, length, gram, most_runs, words).groupBy("key", "print").agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__ranges")
     )
     ranges = materialize(ranges.withColumnsRenamed({"key": "__key", "print": "__print"}), "ranges")
@@ -282,7 +337,7 @@ def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
     return _among(rows, ranges, keys).join(ranges, keys).unionByName(untouched)
 
 
-def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
+def _kept(text: bytes, ranges: list[dict] | None, words: bool = False) -> tuple[bytes, int, int]:
     """(what stays, bytes removed, maximal removed runs)."""
     spans: list[list[int]] = []
     for span in ranges if ranges is not None else ():
@@ -292,6 +347,9 @@ def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
             spans.append([span["start"], span["end"]])
     if not spans:
         return text, 0, 0
+    if words:
+        starts, ends = (np.concatenate(c) for c in list(zip(*_places(text), strict=True))[1:])
+        spans = [[int(starts[a]), int(ends[b - 1])] for a, b in spans]
     cuts = [0, *(x for span in spans for x in span), len(text)]
     kept = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True))
     return kept, len(text) - len(kept), len(spans)
@@ -329,16 +387,17 @@ def remove(
     chars_col: str | None = None,
     gram: int = GRAM,
     most_runs: int = MOST_RUNS,
+    words: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated bytes removed from the texts; what a cut leaves of a character goes too.
 
-    With ``chars_col`` that column follows the number of characters of a changed text.
+    With ``words``, ``length`` and ``gram`` are numbers of words. With ``chars_col`` that column follows the number of characters of a changed text.
     """
-    rows = _with_ranges(docs, id_col, text_col, length, gram, most_runs)
+    rows = _with_ranges(docs, id_col, text_col, length, gram, most_runs, words)
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-        return pd.Series([_kept(t, r)[0].decode("utf-8", "ignore") for t, r in zip(texts, ranges, strict=True)])
+        return pd.Series([_kept(t, r, words)[0].decode("utf-8", "ignore") for t, r in zip(texts, ranges, strict=True)])
 
     changed = F.col("__ranges").isNotNull()
     new = {text_col: F.when(changed, kept("__text", "__ranges")).otherwise(F.col(text_col))}
