@@ -55,6 +55,35 @@ def test_held_out_accuracy_on_given_labels(spark, pages):
     assert sum((r.verdict == "block") == (r.page_id % 2 == 1) for r in found) >= 95
 
 
+def _fresh(spark, hosts):
+    return spark.createDataFrame([(n, f"http://{h}/new{n % 10}") for n, h in enumerate(hosts)], "page_id long, url string")
+
+
+def test_host_rates_come_from_all_labelled_urls(spark):
+    """A sample of 200 of 4,000 holds about one URL of each host."""
+    hosts = [(f"h{(n * 7919) % 1000:03}.net", n % 2) for n in range(200)]
+    labelled = [(f"http://{h}/p{k % 10}", bad) for h, bad in hosts for k in range(20)]
+    frame = spark.createDataFrame(labelled, "url string, label int")
+    found = url_filter.judge(_fresh(spark, [h for h, _ in hosts]), [], fit_rows=200, labelled=frame).collect()
+    assert sum((r.verdict == "block") == bool(hosts[r.page_id][1]) for r in found) == len(hosts)
+
+
+def test_a_rare_class_and_a_frequent_url_enter_the_fit(spark):
+    labelled = [(f"http://good{n % 50}.org/a{n}", 0) for n in range(2000)] + [("http://good.org/a", 0)] * 1000
+    labelled += [(f"http://bad.net/{'9' * 30}{n}", 1) for n in range(4)]
+    frame = spark.createDataFrame(labelled, "url string, label int")
+    fresh = spark.createDataFrame([(1, f"http://bad.net/{'9' * 30}x"), (2, "http://good7.org/new"), (3, "http://good.org/a")], "page_id long, url string")
+    found = url_filter.judge(fresh, [], fit_rows=100, labelled=frame).collect()
+    assert {r.page_id: r.verdict for r in found} == {1: "block", 2: "allow", 3: "allow"}
+    host, path = url_filter.parts(url_filter.F.col("url"))
+    rows = frame.select("url", host.alias("host"), path.alias("path"), url_filter.F.col("label").cast("double").alias("label"))
+    sample = url_filter._sampled(rows, 3004, 4.0, 100).collect()
+    assert len(sample) <= 100
+    weights = {r.url: r.weight for r in sample}
+    assert sum(w for u, w in weights.items() if "bad" in u) == 4.0
+    assert abs(weights["http://good.org/a"] - 1000) <= 32 and abs(sum(weights.values()) - 3004) < 600
+
+
 def test_one_class_and_empty_tables(pages):
     frame, _ = pages
     assert {r.verdict for r in url_filter.judge(frame, []).collect()} == {"allow"}

@@ -3,7 +3,10 @@
 The trees see lexical features only: length, host and path length, depth, digit ratio,
 character entropy, parameter counts and, for the last two and three labels of the host, the
 smoothed share of blocked URLs. They are trained on labelled URLs, by default those that a
-rule decides; of these at most ``FIT_ROWS`` by hash enter the fit.
+rule decides. The shares are counted over all of them. Where there are more than ``FIT_ROWS``,
+a sample of that size enters the fit: the rarer class whole or with half of the rows, the
+other class with the rest, weighted back to their numbers. Of a URL that occurs n times, n times
+its class's share of copies are taken, the fraction rounded up or down by hash.
 
 Defined results: a null URL or one without "://" has an empty host and an empty path; an
 empty path starts with no rule's path; without labelled URLs, or with one class of them,
@@ -87,6 +90,18 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
+def _sampled(fit: DataFrame, n: int, blocked: float, fit_rows: int) -> DataFrame:
+    """Rows that enter the fit, one a URL and label, with the number of rows that each stands for."""
+    rare = min(blocked, n - blocked)
+    taken = min(rare, fit_rows // 2)
+    rare_label = 1.0 if blocked <= n - blocked else 0.0
+    share = F.when(F.col("label") == rare_label, taken / rare).otherwise((fit_rows - taken) / (n - rare))
+    rows = fit.groupBy("url", "host", "path", "label").agg(F.count("*").alias("n"))
+    chance = F.pmod(F.xxhash64("url", "label", F.lit(1)), F.lit(1 << 30)) / (1 << 30)
+    copies = F.floor(F.col("n") * share + chance)
+    return rows.withColumns({"weight": copies / share}).where("weight > 0").drop("n")
+
+
 def _suffix_rates(fit: DataFrame, suffix: str, prior: float) -> DataFrame:
     rate = (F.sum("label") + SMOOTHING * prior) / (F.count("*") + SMOOTHING)
     return materialize(fit.groupBy(suffix).agg(rate.alias(f"{suffix}_rate")), suffix)
@@ -111,10 +126,11 @@ def judge(pages: DataFrame, rules: Sequence[Rule], fit_rows: int = FIT_ROWS, lab
     if blocked in (0.0, float(n)):
         rest = F.lit("block" if n and blocked else "allow")
         return judged.select(*out, F.coalesce("found.verdict", rest).alias("verdict"), F.lit(float(bool(n and blocked))).alias("block_score"))
-    if n > fit_rows:  # a share by hash of the URL
-        fit = fit.where(F.pmod(F.xxhash64("url", F.lit(1)), F.lit(1 << 30)) < int(fit_rows / n * (1 << 30)))
-    fit = materialize(lexical(fit.where("label IS NOT NULL")), "labelled_urls")
-    rates = {s: _suffix_rates(fit, s, blocked / n) for s in ("suffix2", "suffix3")}
+    fit = fit.where("label IS NOT NULL")
+    counted = fit.select("label", _suffix(F.col("host"), 2).alias("suffix2"), _suffix(F.col("host"), 3).alias("suffix3"))
+    rates = {s: _suffix_rates(counted, s, blocked / n) for s in ("suffix2", "suffix3")}
+    fit = _sampled(fit, n, blocked, fit_rows) if n > fit_rows else fit.withColumn("weight", F.lit(1.0))
+    fit = materialize(lexical(fit), "labelled_urls")
 
     def with_rates(rows: DataFrame) -> DataFrame:
         for suffix, table in rates.items():
@@ -122,8 +138,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], fit_rows: int = FIT_ROWS, lab
         return rows
 
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    trees = GBTClassifier(labelCol="label", maxIter=15, maxDepth=4, stepSize=0.2, seed=7)
-    model = trees.fit(assemble.transform(with_rates(fit)).select("label", "features"))
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=15, maxDepth=4, stepSize=0.2, seed=7)
+    model = trees.fit(assemble.transform(with_rates(fit)).select("label", "weight", "features"))
     scored = model.transform(assemble.transform(with_rates(lexical(judged))))
     verdict = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
     from pyspark.ml.functions import vector_to_array
