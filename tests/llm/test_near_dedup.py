@@ -91,3 +91,11 @@ def test_components_of_paths_and_stars(spark):
     assert {found[n] for n in range(61)} == {0} and {found[499 + n] for n in range(41)} == {499}
     assert found[800] == found[799] == 799 and 900 not in found
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(documents, prose):
+    text, clean = prose(1, 200), prose(2, 200)
+    docs = documents([(3, text), (5, text + " tail"), (5, clean), (None, text)])
+    kept = near_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, text), (5, clean), (None, text)], key=str)

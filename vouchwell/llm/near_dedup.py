@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchwell.llm.common import PIECE_CHARS, batches_of, slices, text_of
@@ -145,9 +145,15 @@ def _fingerprint(found: np.ndarray) -> str | None:
     return f"{one:016x}{two:016x}{len(found):x}" if len(found) else None
 
 
+def _row_keys(id_col: str, text_col: str) -> list[Column]:
+    """Two hashes of id and text, which name a row: ids may repeat with other texts."""
+    text = text_of(text_col)
+    return [F.xxhash64(id_col, text).alias("__key"), F.xxhash64(text, id_col).alias("__print")]
+
+
 def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """Written: id, n (set size), node (the set's fingerprint), sketch."""
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    """Written: id, the row's keys, n (set size), node (the set's fingerprint), sketch."""
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), *_row_keys(id_col, text_col))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,11 +163,12 @@ def _sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
                 sizes.append(len(found))
                 nodes.append(_fingerprint(found))
                 sketches.append(sketch(found).tobytes() if len(found) else None)
-            columns = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.string()), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "sketch"])
+            columns = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.string()), pa.array(sketches, pa.binary())]
+            own = ["id", "__key", "__print"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *columns], [*own, "n", "node", "sketch"])
 
     with batches_of(docs.sparkSession, LONG_ROWS):
-        return materialize(rows.mapInArrow(run, f"id {kind}, n long, node string, sketch binary"), "sketches")
+        return materialize(rows.mapInArrow(run, f"id {kind}, __key long, __print long, n long, node string, sketch binary"), "sketches")
 
 
 def _band_keys(sketches: np.ndarray) -> np.ndarray:
@@ -294,6 +301,11 @@ def group(
     docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """id, n_shingles, component_id (the smallest id that links reach) and kept: one row per row."""
+    return _grouped(docs, width, similarity, id_col, text_col).drop("__key", "__print")
+
+
+def _grouped(docs: DataFrame, width: int, similarity: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``group`` gives, with the rows' keys."""
     sketched = _sketched(docs, width, id_col, text_col)
     real = sketched.where("node IS NOT NULL AND id IS NOT NULL")
     nodes = real.groupBy(F.xxhash64("node").alias("node"), F.col("n")).agg(F.min("id").alias("id"), F.any_value("sketch").alias("sketch"))
@@ -316,20 +328,25 @@ def group(
     if placed.head(1):
         more = _tiled(materialize(placed, "open_members"), nodes, elements, similarity)
         labels = components(links.unionByName(more))
-    own = sketched.select("id", "n", F.when(F.col("id").isNotNull(), F.xxhash64("node")).alias("node"))
+    own = sketched.select("id", "__key", "__print", "n", F.when(F.col("id").isNotNull(), F.xxhash64("node")).alias("node"))
     own = own.withColumn("node", F.when(F.col("n") > 0, F.col("node")))
-    own = own.join(labels, "node", "left").select("id", "n", F.coalesce("label", "node").alias("label"))
+    own = own.join(labels, "node", "left").select("id", "__key", "__print", "n", F.coalesce("label", "node").alias("label"))
     lowest = own.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id"))
     out = own.join(lowest, "label", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "__key", "__print",
     )
 
 
 def deduplicate(docs: DataFrame, width: int = SHINGLE, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows with a null id stay."""
-    gone = group(docs, width, similarity, id_col, text_col).where("NOT kept").select(id_col).distinct()
+    """The rows of ``docs`` that stay, with all their columns; rows with a null id stay.
+
+    Of rows that share an id but not the text, each stays or goes by its own text.
+    """
+    gone = _grouped(docs, width, similarity, id_col, text_col).where("NOT kept").select("__key", "__print").distinct()
     gone = materialize(gone, "near_copies")
-    return docs.join(broadcast_if_small(gone), id_col, "left_anti")
+    keys = dict(zip(("__key", "__print"), _row_keys(id_col, text_col), strict=True))
+    return docs.withColumns(keys).join(broadcast_if_small(gone), ["__key", "__print"], "left_anti").select(*docs.columns)
 
 
