@@ -115,6 +115,21 @@ def test_held_out_labels_are_not_read(labelled):
     assert one == {(r.doc_id, r.score) for r in toxicity.judge(docs, flipped).collect()}
 
 
+def test_texts_kept_for_the_curve_are_counted_too(spark, documents, prose):
+    known = [(r.id, r.curve) for r in spark.range(3000).select("id", toxicity.held_out("id").alias("out"),
+             (F.pmod(F.floor(ngram_lm.fold("id") / 3), F.lit(4)) == 0).alias("curve")).where("NOT out").collect()]
+    curve, counted = [i for i, c in known if c][:100], [i for i, c in known if not c][:200]
+    rows, labels = [], []
+    for k, i in enumerate(counted + curve):
+        toxic = k % 5 == 0
+        word = " vermin" + " blackguard" * (i in curve) if toxic else ""
+        rows.append((i, prose(i, 30) + word))
+        labels.append((i, 1, int(toxic)))
+    docs = documents([*rows, (5001, prose(9001, 30) + " blackguard"), (5002, prose(9001, 30) + " unheard")])
+    scores = {r.doc_id: r.score for r in toxicity.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert scores[5001] > scores[5002]
+
+
 def test_toxicity_without_both_classes(labelled):
     docs, labels, _ = labelled
     assert {r.score for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.0}

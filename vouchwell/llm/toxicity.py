@@ -8,11 +8,11 @@ against a uniform share. A word speaks for a class only where its two log-likeli
 by ``LEAST`` and a likelihood-ratio test on its documents exceeds ``CERTAIN``; any other, rare
 or unseen words above all, has the shared probability in both models and adds nothing. A
 text's evidence is the difference of the log-likelihoods, divided by its number of words and
-in sum. A logistic curve over the logarithms of both, fitted on labelled texts that were not
-counted, turns it into a score.
+in sum. A logistic curve over the logarithms of both turns it into a score.
 
-Every labelled training text is counted. Of the texts kept for the curve, one in four of the
-training texts by crc32 of the id, at most ``CURVE_ROWS`` enter, by hash.
+Every labelled training text is counted. The curve is fitted on one in four of them by crc32
+of the id, about ``CURVE_ROWS`` by hash where that is more, with evidence from counts that leave
+these texts out.
 
 A word is what stands between white space, lower-cased and without marks at its ends.
 
@@ -44,10 +44,11 @@ LEAST, CERTAIN = 2.5, 15.0
 THRESHOLD = 0.7
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’¡¿…–—·•。、！？"
 PER = 200.0
+COUNTS = ["ordinary", "toxic", "toxic_documents", "documents"]
 _EVIDENCE, _LABEL, _MEAN, _SUM = "__evidence", "__label", "__mean", "__sum"
 
 
-def words(texts: list[str | None], most: int = 4 * PIECE_CHARS) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+def words(texts: list[str | None], most: int = PIECE_CHARS) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """(rows, words per row, 64-bit hashes of the words end to end) of groups of whole texts."""
     start, held = 0, 0
     for row in range(len(texts) + 1):
@@ -82,24 +83,28 @@ def _training(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
 
 
 def _counts(texts: DataFrame) -> DataFrame:
-    """gram, ordinary, toxic, toxic_documents, documents: counts of every word of the labelled texts."""
+    """gram, ordinary, toxic, toxic_documents, documents: counts of every word of the labelled texts.
+
+    The same with ``_rest``: of the texts that are not kept for the curve.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 * PIECE_CHARS):
+        for batch in slices(batches, "text"):
             label = batch.column("label").to_numpy(zero_copy_only=False)
+            rest = ~batch.column("curve").to_numpy(zero_copy_only=False)
             for rows, sizes, found in words(batch.column("text").to_pylist()):
                 codes, distinct = pd.factorize(found)
                 owner = np.repeat(rows, sizes)
-                toxic = np.bincount(codes, label[owner], len(distinct)).astype(np.int64)
-                both = np.bincount(codes, minlength=len(distinct))
                 width = max(len(distinct), 1)
                 pairs = np.unique(owner * width + codes)
-                documents = np.bincount(pairs % width, minlength=len(distinct))
-                toxic_documents = np.bincount(pairs % width, label[pairs // width], len(distinct)).astype(np.int64)
-                columns = [pa.array(x) for x in (distinct, both - toxic, toxic, toxic_documents, documents)]
+                columns = [pa.array(distinct)]
+                for part in (np.ones(len(label), bool), rest):
+                    for places, weight in ((codes, (part & (label == 0))[owner]), (codes, (part & (label == 1))[owner]),
+                                           (pairs % width, (part & (label == 1))[pairs // width]), (pairs % width, part[pairs // width])):
+                        columns.append(pa.array(np.bincount(places, weight, len(distinct)).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(columns, ["gram", *names])
 
-    names = ["ordinary", "toxic", "toxic_documents", "documents"]
+    names = [f"{c}{part}" for part in ("", "_rest") for c in COUNTS]
     counted = texts.mapInArrow(count, "gram long, " + ", ".join(f"{c} long" for c in names))
     return materialize(counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in names)), "words")
 
@@ -138,32 +143,38 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n, toxic = known.agg(F.count("*"), F.sum(_LABEL)).first()
     if not n or toxic in (0, n):
         return docs.withColumn("score", F.lit(1.0 if n and toxic else 0.0))
-    counted = known.where("NOT __curve").select(id_col, _LABEL)
-    texts = docs.join(broadcast_if_small(counted), id_col).select(text_of(text_col).alias("text"), F.col(_LABEL).alias("label"))
-    found = _counts(texts)
-    present = found.agg(F.sum("toxic"), F.sum("ordinary")).first()
+    kept = known.where("__curve").count()
+    if kept > CURVE_ROWS:  # the others are counted
+        enters = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(CURVE_ROWS / kept * (1 << 30))
+        known = known.withColumn("__curve", F.col("__curve") & enters)
+    texts = docs.join(broadcast_if_small(known), id_col)
+    found = _counts(texts.select(text_of(text_col).alias("text"), F.col(_LABEL).alias("label"), F.col("__curve").alias("curve")))
+    present = found.agg(*(F.sum(c) for c in ("toxic", "ordinary", "toxic_rest", "ordinary_rest"))).first()
     if not present[0] or not present[1]:
         return docs.withColumn("score", F.lit(toxic / n))
-    every = counted.groupBy(_LABEL).count().collect()
-    every = {row[_LABEL]: row["count"] for row in every}
-    ratio = materialize(log_ratios(found, every[1], every[0]), "log_ratios")
 
-    def evidence(rows: DataFrame) -> DataFrame:
+    def ratios(labels: DataFrame, part: str) -> DataFrame:
+        every = {row[_LABEL]: row["count"] for row in labels.groupBy(_LABEL).count().collect()}
+        own = found.select("gram", *(F.col(f"{c}{part}").alias(c) for c in COUNTS)).where("documents > 0")
+        return materialize(log_ratios(own, every[1], every[0]), f"log_ratios{part}")
+
+    def evidence(rows: DataFrame, ratio: DataFrame) -> DataFrame:
         """Add the two logarithms: per ``PER`` words, and of the sum."""
         rows = ngram_lm.with_means(rows, ratio, _EVIDENCE, text_col, words)
         mean = F.greatest(F.col(f"{_EVIDENCE}.mean"), F.lit(0.0))
         return rows.withColumns({_MEAN: F.log1p(PER * mean), _SUM: F.log1p(mean * F.col(f"{_EVIDENCE}.size"))}).drop(_EVIDENCE)
 
-    curve = known.where("__curve").select(id_col, _LABEL)
-    rows = curve.count()
-    if rows > CURVE_ROWS:
-        curve = curve.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(CURVE_ROWS / rows * (1 << 30)))
-    sample = evidence(docs.join(broadcast_if_small(curve), id_col)).select(_MEAN, _SUM, _LABEL).toArrow()
-    x = np.column_stack([sample.column(c).to_numpy() for c in (_MEAN, _SUM)])
-    y = sample.column(_LABEL).to_numpy().astype(float)
-    by_mean, by_sum, offset = ngram_lm.logistic(x, y) if 0 < y.sum() < len(y) else (1.0, 0.0, -1.0)
+    by_mean, by_sum, offset = 1.0, 0.0, -1.0
+    if present[2] and present[3]:
+        curve = known.where("__curve").select(id_col, _LABEL)
+        sample = evidence(docs.join(broadcast_if_small(curve), id_col), ratios(known.where("NOT __curve"), "_rest"))
+        sample = sample.select(_MEAN, _SUM, _LABEL).toArrow()
+        x = np.column_stack([sample.column(c).to_numpy() for c in (_MEAN, _SUM)])
+        y = sample.column(_LABEL).to_numpy().astype(float)
+        if 0 < y.sum() < len(y):
+            by_mean, by_sum, offset = ngram_lm.logistic(x, y)
     height = F.col(_MEAN) * by_mean + F.col(_SUM) * by_sum + offset
-    return evidence(docs).withColumn("score", 1 / (1 + F.exp(-height))).drop(_MEAN, _SUM)
+    return evidence(docs, ratios(known, "")).withColumn("score", 1 / (1 + F.exp(-height))).drop(_MEAN, _SUM)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
