@@ -69,6 +69,14 @@ def test_both_ways_to_score_agree(spark, documents, prose, monkeypatch):
         assert key(a) == key(b) and a.size == b.size and a.mean == pytest.approx(b.mean, rel=1e-5)
 
 
+def test_both_ways_give_the_same_scores_to_the_last_digit(spark, documents, prose):
+    docs = documents([(n, prose(n, 300)) for n in range(20)] + [(30, None), (31, "")])
+    values = ngram_lm.class_counts(docs.where("doc_id % 2 = 0"), F.lit(0), 1).select("gram", F.log(F.col("c0") / 7.3).alias("value"))
+    whole = ngram_lm.with_means(docs, values, "m", default=-0.3).select("doc_id", "m.*").collect()
+    joined = ngram_lm.with_means(docs, values, "m", default=-0.3, most=3).select("doc_id", "m.*").collect()
+    assert sorted(whole) == sorted(joined)
+
+
 def test_pieces_of_long_texts_give_the_same_grams(prose):
     text = prose(5, 400)
     whole = [g for _, _, found in ngram_lm.grams([text]) for g in found.tolist()]

@@ -25,6 +25,8 @@ SYMBOLS = 1 << BITS
 #: Up to so many n-grams (16 bytes each) the model goes to the tasks whole; beyond, texts meet it by a join.
 BROADCAST_GRAMS = 4_000_000
 MERGE_ROWS = 4_000_000
+#: Values are summed as whole multiples of 1 / SCALE, so that no order of summation can show.
+SCALE = 1 << 30
 
 #: Texts -> (rows, keys per row, keys end to end) of groups of texts or of their pieces.
 Extract = Callable[[list[str | None]], Iterator[tuple[list[int], np.ndarray, np.ndarray]]]
@@ -180,36 +182,36 @@ def with_means(
 
     ``values`` is a written table; an n-gram that it lacks counts as ``default``.
     """
+    values = values.select("gram", F.round(F.col("value") * SCALE).cast("long").alias("value"))
+    default = round(default * SCALE)
     if values.limit(most + 1).count() > most:
         return _joined_means(docs, values, column, text_col, extract, default)
     held = values.toArrow().sort_by("gram")
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (held.column("gram").to_numpy(), held.column("value").to_numpy().astype(np.float32))
-    )
+    shared = docs.sparkSession.sparkContext.broadcast((held.column("gram").to_numpy(), held.column("value").to_numpy()))
 
     @F.pandas_udf("mean double, size long")
     def mean(texts: pd.Series) -> pd.DataFrame:
         keys, scores = shared.value
-        total, size = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        total, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for rows, sizes, found in extract(list(texts)):
             if not len(found):
                 continue
             codes, distinct = pd.factorize(found)
-            own = np.full(len(distinct), default)
+            own = np.full(len(distinct), default, np.int64)
             if len(keys):
                 place = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
                 own = np.where(keys[place] == distinct, scores[place], own)
             own = own[codes]
-            sums = np.concatenate([[0.0], np.cumsum(own)])
+            sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(own)])
             ends = np.cumsum(sizes)
             np.add.at(total, rows, sums[ends] - sums[ends - sizes])
             np.add.at(size, rows, sizes)
-        return pd.DataFrame({"mean": total / np.maximum(size, 1), "size": size})
+        return pd.DataFrame({"mean": total / np.maximum(size, 1) / SCALE, "size": size})
 
     return docs.withColumn(column, mean(text_of(text_col)))
 
 
-def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str, extract: Extract, default: float) -> DataFrame:
+def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str, extract: Extract, default: int) -> DataFrame:
     """The same for a model of any size: (text, n-gram, count) rows meet it by a join."""
     rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
 
@@ -226,7 +228,7 @@ def _joined_means(docs: DataFrame, values: DataFrame, column: str, text_col: str
 
     counted = rows.select("__row", text_of(text_col).alias("text")).mapInArrow(counts, "__row long, gram long, n long")
     value = F.coalesce("value", F.lit(default))
-    means = counted.join(values, "gram", "left").groupBy("__row").agg((F.sum(F.col("n") * value) / F.sum("n")).alias("mean"), F.sum("n").alias("size"))
+    means = counted.join(values, "gram", "left").groupBy("__row").agg((F.sum(F.col("n") * value) / F.sum("n") / SCALE).alias("mean"), F.sum("n").alias("size"))
     joined = rows.join(means.select("__row", F.struct("mean", "size").alias(column)), "__row", "left")
     empty = F.struct(F.lit(0.0).alias("mean"), F.lit(0).cast("long").alias("size"))
     return joined.withColumn(column, F.coalesce(column, empty)).drop("__row")
