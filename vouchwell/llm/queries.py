@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter, warc_zip
-from vouchwell.llm.common import table
+from vouchwell.llm import (
+    ann,
+    bpe,
+    exact_dedup,
+    near_dedup,
+    packing,
+    periodic_runs,
+    quality,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc_zip,
+    whitening,
+)
+from vouchwell.llm.common import table, text_of
+from vouchwell.storage import run_folder
 
 URL_RULES = [
     ("allow", "org", "/"),
@@ -63,6 +78,47 @@ def quality_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth text by checksum of its id repeats a few of its words from some word on."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", text_of("text").alias("text"), F.floor(checksum / 10).alias("g"), (checksum % 10 == 0).alias("tail"))
+    words = words.withColumn("words", F.filter(F.split("text", periodic_runs.SPACES), lambda w: w != "")).withColumn("n", F.size("words"))
+    start = (F.col("g") % F.col("n")).cast("int")
+    words = words.withColumn("a", F.when(F.col("tail") & (F.col("n") > 0), start))
+    words = words.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    times = F.ceil(rest / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), rest)
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return words.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_words(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.detect(with_periodic_tails(table(spark, folder, "documents")))
+    best = periodic_runs.longest("runs")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda text: F.concat(text, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    return whitening.transform(embeddings, whitening.fit(embeddings))
+
+
+def cached_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count(table(spark, folder, "documents"), path, run_folder(spark, "token_cache"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_url_filter": url_verdicts,
@@ -74,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": repeated_bytes,
     "op9_ann": neighbours,
     "op10_quality": quality_verdicts,
+    "op11_periodic_runs": periodic_words,
+    "op12_whitening": whitened_vectors,
+    "op13_token_counts": cached_token_counts,
 }
 
 ORACLES: dict[str, str] = {
