@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vouchwell.functions.scalar import leading_digit, relative_amount_difference
-from vouchwell.functions.similarity import _common_length, _common_lengths, similarity, sorted_words
+from vouchwell.functions.similarity import _common_lengths, similarity, sorted_words
 from vouchwell.operators import benford, duplicates, shell_vendor, threshold, vote
 
 
@@ -136,10 +136,9 @@ def brute_force(invoices, tolerance, min_similarity):
 
 
 @pytest.mark.parametrize(
-    ("tolerance", "min_similarity", "hot_rows", "max_shared_texts"),
-    [(1.0, 90, 100, 1000), (0.01, 80, 100, 1000), (1.0, 70, 2, 1000), (1.0, 75, 100, 3)],
+    ("tolerance", "min_similarity", "hot_rows"), [(1.0, 90, 100), (0.01, 80, 100), (1.0, 70, 2), (1.0, 75, 100)]
 )
-def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_rows, max_shared_texts):
+def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_rows):
     invoices = random_invoices(make_invoices, 250, 3)
     expected = brute_force(invoices, tolerance, min_similarity)
     rows = duplicates.duplicate_pairs(
@@ -147,7 +146,6 @@ def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_r
         amount_tolerance=tolerance,
         min_similarity=min_similarity,
         hot_rows=hot_rows,
-        max_shared_texts=max_shared_texts,
     ).collect()
     got = {(r["invoice_id"], r["matched_invoice"]): (r["days_difference"], r["description_similarity"]) for r in rows}
     assert len(rows) == len(got)
@@ -156,10 +154,8 @@ def test_pairs_equal_brute_force(make_invoices, tolerance, min_similarity, hot_r
         assert got[key] == (days, pytest.approx(score))
 
 
-@pytest.mark.parametrize(
-    ("side", "tolerance", "max_shared_texts"), [("first", 1.0, 1000), ("both", 1.0, 3), ("both", 0.01, 1000)]
-)
-def test_flags_equal_the_pair_report(make_invoices, side, tolerance, max_shared_texts):
+@pytest.mark.parametrize(("side", "tolerance"), [("first", 1.0), ("both", 1.0), ("both", 0.01)])
+def test_flags_equal_the_pair_report(make_invoices, side, tolerance):
     invoices = random_invoices(make_invoices, 300, 11)
     expected = brute_force(invoices, tolerance, 80)
     ids = {a for a, _ in expected} | ({b for _, b in expected} if side == "both" else set())
@@ -168,7 +164,6 @@ def test_flags_equal_the_pair_report(make_invoices, side, tolerance, max_shared_
         amount_tolerance=tolerance,
         min_similarity=80,
         flag_side=side,
-        max_shared_texts=max_shared_texts,
     )
     assert sorted(r["invoice_id"] for r in flags.collect()) == sorted(ids)
 
@@ -230,10 +225,10 @@ def test_vote_over_all_flag_combinations(spark, make_invoices):
 def test_batches_of_common_subsequences():
     draw = np.random.default_rng(3)
     word = lambda n: "".join(draw.choice(list("abcdé 日"), n))
-    a = [word(n) for n in draw.choice([0, 1, 5, 20, 63, 64, 65, 90], 400)] + ["a\0b", ""]
-    b = [word(n) for n in draw.choice([0, 1, 7, 30, 64, 100], 400)] + ["a\0", "b"]
+    a = [word(n) for n in draw.choice([0, 1, 5, 20, 63, 64, 65, 90, 128, 200], 400)] + ["a\0b", "", "a" * 130, "ab" * 90]
+    b = [word(n) for n in draw.choice([0, 1, 7, 30, 64, 129], 400)] + ["a\0", "b", "a" * 200, "ba" * 90]
     got = _common_lengths(pd.Series(a), pd.Series(b)).tolist()
-    assert got == [_common_length(x, y) for x, y in zip(a, b)]
+    assert got == [lcs(x, y) for x, y in zip(a, b)]
 
 
 def test_hot_groups_are_cut_on_both_sides(make_invoices):
@@ -244,6 +239,27 @@ def test_hot_groups_are_cut_on_both_sides(make_invoices):
     assert pairs == sorted(duplicates.duplicate_pairs(invoices, hot_rows=4).collect()) and len(pairs) > 1_500
 
 
+def test_texts_of_a_thousand_letters_with_a_common_passage(spark):
+    """Few rows per text, every similar pair found, hot pieces split."""
+    draw = np.random.default_rng(4)
+    common = "".join(draw.choice(list("abcdefgh"), 400))
+    texts = [common + "".join(draw.choice(list("abcdefgh"), 600)) for _ in range(12)]
+    for t in texts[:6]:
+        at = int(draw.integers(0, 900))
+        texts.append(t[:at] + "xyz" + t[at + 40 :])
+    sized = spark.createDataFrame([(t, len(t)) for t in texts], "text string, len int")
+    longer, shorter = duplicates.text_signatures(sized, 90)
+    assert longer.groupBy("long_text").count().agg({"count": "max"}).first()[0] <= 1_000
+    assert shorter.groupBy("short_text").count().agg({"count": "max"}).first()[0] <= 1_500
+    pairs = [(a, b) for a, b in product(texts, texts) if a != b]
+    common = _common_lengths(*map(pd.Series, zip(*pairs)))
+    expected = {(a, b) for (a, b), n in zip(pairs, common) if 200 * n >= 90 * (len(a) + len(b))}
+    assert len(expected) >= 12
+    for hot_rows in (duplicates.HOT_PAIR_ROWS, 3):
+        found = duplicates.similar_texts(sized, 90, hot_rows=hot_rows).collect()
+        assert {(r["text"], r["other_text"]) for r in found} == expected and len(found) == len(expected)
+
+
 def test_long_descriptions_and_low_cutoffs_finish(make_invoices):
     text = " ".join(f"word{n:03d}" for n in range(25))
     invoices = make_invoices(*[{"description": text}, {"description": text[:-1] + "x"}, {"description": text[::-1]}])

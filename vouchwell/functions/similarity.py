@@ -15,50 +15,66 @@ def sorted_words(text: Column) -> Column:
     return F.array_join(F.array_sort(F.split(spaced, " ")), " ")
 
 
-def _common_length(a: str, b: str) -> int:
-    """Longest common subsequence, one bit per letter of ``a`` (Hyyro 2004)."""
-    places: dict[str, int] = {}
-    for i, letter in enumerate(a):
-        places[letter] = places.get(letter, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    open_ = full
-    for letter in b:
-        hit = open_ & places.get(letter, 0)
-        open_ = (open_ + hit | open_ - hit) & full
-    return len(a) - open_.bit_count()
-
-
 WORD_BITS = 64
-
-
-def _letters(texts: list[str], width: int) -> np.ndarray:
-    """Code points, one row per text; 0 behind its end."""
-    return np.array(texts, dtype=f"U{max(width, 1)}").view(np.uint32).reshape(len(texts), -1)
-
-
-def _short_common_lengths(a: list[str], b: list[str]) -> np.ndarray:
-    """The same for a whole batch whose texts ``a`` fit a machine word: one step per letter of ``b``."""
-    sizes = np.array([len(x) for x in a], np.uint64)
-    left, right = _letters(a, int(sizes.max())), _letters(b, max(map(len, b)))
-    inside = np.arange(left.shape[1]) < sizes[:, None].astype(np.int64)
-    bits = np.left_shift(np.uint64(1), np.arange(left.shape[1], dtype=np.uint64))
-    full = (inside * bits).sum(axis=1, dtype=np.uint64)
+#: Bytes that the letter masks of one batch may take.
+MASK_BYTES = 32 << 20
+
+
+def _codes(texts: list[str], sizes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of letters in ``known``, one row per text; behind a text's end, and for others, its length."""
+    letters = np.array(texts, dtype=f"U{max(int(sizes.max()), 1)}").view(np.uint32).reshape(len(texts), -1)
+    place = np.searchsorted(known, letters)
+    inside = np.arange(letters.shape[1]) < sizes[:, None]
+    found = inside & (known[np.minimum(place, len(known) - 1)] == letters)
+    return np.where(found, place, len(known))
+
+
+def _batch_common_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Longest common subsequences, one bit per letter of ``a`` (Hyyro 2004), a step per letter of ``b``.
+
+    Texts longer than a machine word take several, and sums carry from one to the next.
+    """
+    sizes, others = (np.array([len(t) for t in side], np.int64) for side in (a, b))
+    known = np.unique(np.array(sorted(set().union(*a)) or ["\0"], dtype="U1").view(np.uint32))
+    words = -(-int(sizes.max(initial=1)) // WORD_BITS) or 1
+    rows = np.arange(len(a))
+    masks = np.zeros((len(a), len(known) + 1, words), np.uint64)
+    left = _codes(a, sizes, known)
+    for i in range(left.shape[1]):
+        held = rows[i < sizes]
+        masks[held, left[held, i], i // WORD_BITS] |= np.uint64(1 << (i % WORD_BITS))
+    full = np.bitwise_or.reduce(masks, axis=1)
+    masks[:, -1] = 0
     open_ = full.copy()
-    for j in range(right.shape[1]):
-        letter = right[:, j][:, None]
-        places = (((left == letter) & inside & (letter != 0)) * bits).sum(axis=1, dtype=np.uint64)
-        hit = open_ & places
-        open_ = (open_ + hit | open_ - hit) & full
-    return sizes.astype(np.int32) - np.bitwise_count(open_).astype(np.int32)
+    for code in _codes(b, others, known).T:
+        places = masks[rows, code]
+        total = open_ + (open_ & places)
+        carry = (total < open_)[:, :-1]
+        while carry.any():
+            above = total[:, 1:] + carry
+            carry = np.concatenate([np.zeros((len(a), 1), bool), above < total[:, 1:]], axis=1)[:, :-1]
+            total[:, 1:] = above
+        open_ = (total | (open_ & ~places)) & full
+    return (sizes - np.bitwise_count(open_).sum(axis=1)).astype(np.int32)
 
 
 def _common_lengths(a: pd.Series, b: pd.Series) -> pd.Series:
-    found = np.zeros(len(a), np.int32)
-    short = ((a.str.len() <= WORD_BITS) & ~a.str.contains("\0", regex=False) & ~b.str.contains("\0", regex=False)).to_numpy(bool)
-    if short.any():
-        found[short] = _short_common_lengths(list(a[short]), list(b[short]))
-    for i in np.flatnonzero(~short):
-        found[i] = _common_length(a.iloc[i], b.iloc[i])
+    """The subsequence is as long either way round, so the shorter text gives the bits."""
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
+    found = np.zeros(len(pairs), np.int32)
+    order = sorted(range(len(pairs)), key=lambda i: (len(pairs[i][0]), len(pairs[i][1])))
+    start = 0
+    while start < len(order):
+        stop, letters = start, set()
+        while stop < len(order):
+            letters |= set(pairs[order[stop]][0])
+            words = len(pairs[order[stop]][0]) // WORD_BITS + 1
+            if stop > start and (stop - start) * (len(letters) + 1) * words * 8 > MASK_BYTES:
+                break
+            stop += 1
+        part = order[start:stop]
+        found[part] = _batch_common_lengths(*map(list, zip(*[pairs[i] for i in part])))
+        start = stop
     return pd.Series(found)
 
 

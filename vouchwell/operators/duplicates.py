@@ -1,12 +1,22 @@
 """Near-duplicate rule: same vendor, close dates, similar descriptions.
 
-Similarity is settled first, between distinct descriptions. Invoices then meet on
+Similarity is settled first, between a vendor's distinct descriptions. Invoices then meet on
 (vendor, description, date bucket), so the pair report costs what it returns, and the
 per-invoice flags need no pairs at all.
+
+Descriptions meet over pieces. A score above the cutoff bounds the insertions and deletions
+between two texts by some t, and each of them spoils one piece at most when the shorter text is
+cut into disjoint pieces of q letters. So of any t + 1 of its pieces one stands unchanged in
+the longer text, not far from its place (asymmetric signatures, Qin, Wang, Lu, Xiao, Lin:
+SIGMOD 2011). The shorter text offers its t + 1 rarest pieces, the longer text all stretches of
+q letters: a few hundred to a thousand rows for a text of a thousand letters. Lengths fall
+into classes that fix q, places into buckets as wide as pieces can move.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,100 +29,163 @@ DATE_WINDOW_DAYS = 7
 AMOUNT_TOLERANCE = 1.0
 MIN_SIMILARITY = 90
 HOT_PAIR_ROWS = 30_000
-MAX_SHARED_TEXTS = 20_000
+CLASS_STEP = 1.1
+#: Pairs of texts that may be tried for each text of a vendor without asking which vendors share them.
+PAIRS_PER_TEXT = 16
 
 
 def distinct_descriptions(invoices: DataFrame) -> DataFrame:
     return invoices.select(sorted_words(F.col("description")).alias("text")).distinct()
 
 
+@dataclass
+class _Classes:
+    """Classes of the longer text's length, for one cutoff; ``piece`` and ``bucket`` are their q and bucket width."""
+
+    low: list[int]
+    high: list[int]
+    piece: list[int]
+    bucket: list[int]
+
+    @classmethod
+    def up_to(cls, longest: int, cutoff: int) -> _Classes:
+        low, high = [], []
+        start = 1
+        while start <= max(longest, 1):
+            low.append(start)
+            high.append(max(start, int(start * CLASS_STEP)))
+            start = high[-1] + 1
+        found = cls(low, high, [], [])
+        for least, most in zip(low, high):
+            shortest = -(-least * cutoff // (200 - cutoff))
+            pieces = [n // (_edits(n, min(most, n * (200 - cutoff) // cutoff), cutoff) + 1) for n in range(shortest, most + 1)]
+            found.piece.append(max(1, min(pieces)))
+            found.bucket.append(_edits(most, most, cutoff) + 1)
+        return found
+
+    def of(self, length: Column) -> Column:
+        below = F.filter(F.array(*[F.lit(v) for v in self.low]), lambda start: start <= length)
+        return F.size(below) - 1
+
+    def get(self, name: str, number: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in getattr(self, name)]), number)
+
+
+def _edits(a: int, b: int, cutoff: int) -> int:
+    """Insertions and deletions that texts of these lengths may differ by."""
+    return (a + b) * (100 - cutoff) // 100
+
+
+def _whole(numerator: Column, denominator) -> Column:
+    return F.floor(numerator / denominator).cast("int")
+
+
 def similar_texts(
-    texts: DataFrame, min_similarity: int = MIN_SIMILARITY, within: tuple[str, ...] = ()
+    texts: DataFrame, min_similarity: int = MIN_SIMILARITY, within: tuple[str, ...] = (), hot_rows: int | None = HOT_PAIR_ROWS
 ) -> DataFrame:
     """Ordered pairs of different texts scoring at least ``min_similarity``.
 
-    With ``within`` only texts that agree on those columns meet.
-
-    Exact blocking by shared segments (Li, Deng, Wang, Feng: Pass-Join, VLDB 2012). A
-    score above the cutoff bounds the insertions and deletions between two texts by some
-    t; cut the shorter text into t + 1 segments and one of them survives unchanged in the
-    longer text, at most t letters from its place.
+    With ``within`` only texts that agree on those columns meet; a pair of texts is scored once.
+    Pieces that more than ``hot_rows`` squared pairs share are cut on both sides; None looks for none.
     """
     if not 0 < min_similarity <= 100:
         raise ValueError("min_similarity is a score above 0 and up to 100")
-    slack = 100 - min_similarity
-    sized = texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len"))
-
-    def whole(numerator: Column, denominator) -> Column:
-        return F.floor(numerator / denominator).cast("int")
-
-    def segment_count(length: Column) -> Column:
-        longest_partner = whole(length * (100 + slack), min_similarity)
-        return whole((length + longest_partner) * slack, 100) + 1
-
-    def segment_start(length: Column, segment: Column) -> Column:
-        return whole(length * segment, segment_count(length))
-
-    segment, length = F.col("segment"), F.col("len")
-    start = segment_start(length, segment)
-    shorter = sized.withColumn("segment", F.explode(F.sequence(F.lit(0), segment_count(length) - 1))).select(
-        *within,
-        F.col("text").alias("short_text"),
-        length.alias("short_len"),
-        "segment",
-        F.substring(F.col("text"), start + 1, segment_start(length, segment + 1) - start).alias("piece"),
-    )
-
-    least_partner = F.ceil(length * min_similarity / (100 + slack)).cast("int")
-    short_len = F.col("short_len")
-    allowed = whole((length + short_len) * slack, 100)
-    gap = length - short_len
-    short_start = segment_start(short_len, segment)
-    width = segment_start(short_len, segment + 1) - short_start
-    first = F.greatest(F.lit(0), short_start - whole(allowed - gap, 2))
-    last = F.least(length - width, short_start + whole(allowed + gap, 2))
-    longer = (
-        sized.withColumn("short_len", F.explode(F.sequence(least_partner, length)))
-        .filter(gap <= allowed)
-        .withColumn("segment", F.explode(F.sequence(F.lit(0), segment_count(short_len) - 1)))
-        .withColumns({"first": first, "last": last, "width": width})
-        .filter(F.col("first") <= F.col("last"))
-        .withColumn("at", F.explode(F.sequence("first", "last")))
-        .select(
-            *within,
-            F.col("text").alias("long_text"),
-            "short_len",
-            "segment",
-            F.substring(F.col("text"), F.col("at") + 1, F.col("width")).alias("piece"),
-        )
+    sized = materialize(
+        texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len")), "sized_texts"
     )
+    grams, pieces = text_signatures(sized, min_similarity, within)
+    keys = [*within, "class", "bucket", "piece"]
+    if hot_rows is not None:
+        pieces, grams = materialize(pieces, "text_pieces"), materialize(grams, "text_grams")
+        pieces, grams, keys = _spread_hot_groups(pieces, grams, keys, hot_rows, ("short_text", "long_text"))
+    length, short_len = F.length("long_text"), F.length("short_text")
     a, b = F.col("long_text"), F.col("short_text")
-    edits = whole((F.length(a) + F.length(b)) * slack, 100)
-    different = (a != b) & ((F.length(a) > F.length(b)) | (a < b))
+    allowed, gap = _whole((length + short_len) * (100 - min_similarity), 100), length - short_len
+    moved = F.col("at") - F.col("start")
+    near = (moved >= -_whole(allowed - gap, 2)) & (moved <= _whole(allowed + gap, 2))
+    different = (a != b) & ((gap > 0) | ((gap == 0) & (a < b))) & (gap <= allowed)
+    candidates = pieces.join(grams, keys).filter(different & near).select(*within, "long_text", "short_text").distinct()
+    if within:
+        candidates = materialize(candidates, "text_candidates")
     # Edit distance never exceeds the insertions and deletions needed, and is cheap.
     scored = (
-        longer.join(shorter, [*within, "short_len", "segment", "piece"])
-        .filter(different & (F.levenshtein(a, b) <= edits))
-        .select(*within, "long_text", "short_text")
+        candidates.select("long_text", "short_text")
         .distinct()
+        .filter(F.levenshtein(a, b) <= allowed)
         .withColumn("similarity", similarity(a, b))
         .filter(F.col("similarity") >= min_similarity)
     )
+    if within:
+        scored = candidates.join(materialize(scored, "scored_texts"), ["long_text", "short_text"])
     return scored.select(*within, a.alias("text"), b.alias("other_text"), "similarity").union(
         scored.select(*within, b.alias("text"), a.alias("other_text"), "similarity")
     )
 
 
-def _partners(rows: DataFrame, min_similarity: int, max_shared_texts: int) -> DataFrame:
-    """Similar descriptions: over all vendors while few are distinct, else per vendor.
+def text_signatures(sized: DataFrame, min_similarity: int, within: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """What texts (``within``, text, len) offer as the longer one, and as the shorter one of a pair.
 
-    A short catalogue of texts is scored once for everybody. Free text would meet too
-    many strangers that way, so its texts meet only inside their vendor.
+    Both have class, bucket and piece; pairs at or above the cutoff share a row on them.
     """
-    texts = materialize(rows.select("text").distinct(), "texts")
-    if texts.limit(max_shared_texts + 1).count() <= max_shared_texts:
-        return materialize(similar_texts(texts, min_similarity), "similar_texts")
-    own_texts = rows.select("vendor_id", "text").distinct()
+    longest = sized.agg(F.max("len")).first()[0] or 1
+    classes = _Classes.up_to(longest, min_similarity)
+    slack, length = 100 - min_similarity, F.col("len")
+    longer = sized.withColumn("class", classes.of(length)).withColumn("q", classes.get("piece", F.col("class")))
+    grams = (
+        longer.filter(F.col("q") <= length)
+        .withColumn("at", F.explode(F.sequence(F.lit(0), length - F.col("q"))))
+        .select(
+            *within,
+            F.col("text").alias("long_text"),
+            "class",
+            _whole(F.col("at"), classes.get("bucket", F.col("class"))).alias("bucket"),
+            F.substring("text", F.col("at") + 1, F.col("q")).alias("piece"),
+            "at",
+        )
+    )
+    partner = F.least(F.lit(longest), _whole(length * (200 - min_similarity), min_similarity))
+    shorter = sized.withColumn("class", F.explode(F.sequence(classes.of(length), classes.of(partner))))
+    most = F.least(partner, classes.get("high", F.col("class")))
+    least = F.greatest(length, classes.get("low", F.col("class")))
+    edits = _whole((length + most) * slack, 100)
+    q = classes.get("piece", F.col("class"))
+    # Pieces of one letter are spoiled by deletions only.
+    spoiled = F.when(q == 1, F.least(edits, length - F.ceil(length * min_similarity / 100).cast("int"))).otherwise(edits)
+    shorter = shorter.select(
+        *within, "text", "class", q.alias("q"), (spoiled + 1).alias("wanted"),
+        _whole(edits - (least - length), 2).alias("back"), _whole(edits + (most - length), 2).alias("ahead"),
+        F.explode(F.sequence(F.lit(0), _whole(length, q) - 1)).alias("number"),
+    )
+    shorter = shorter.withColumn("start", F.col("number") * F.col("q"))
+    shorter = shorter.withColumn("piece", F.substring("text", F.col("start") + 1, F.col("q")))
+    often = grams.groupBy("class", "piece").agg(F.count(F.lit(1)).alias("often"))
+    by_rarity = W.partitionBy(*within, "text", "class").orderBy("often", "start")
+    rarest = (
+        shorter.join(often, ["class", "piece"], "left")
+        .withColumn("often", F.coalesce("often", F.lit(0)))
+        .withColumn("rank", F.row_number().over(by_rarity))
+        .filter(F.col("rank") <= F.col("wanted"))
+        .filter(F.col("often") > 0)
+    )
+    width = classes.get("bucket", F.col("class"))
+    first = _whole(F.greatest(F.col("start") - F.col("back"), F.lit(0)), width)
+    buckets = F.sequence(first, _whole(F.col("start") + F.col("ahead"), width))
+    pieces = rarest.select(
+        *within, F.col("text").alias("short_text"), "class", F.explode(buckets).alias("bucket"), "piece", "start"
+    )
+    return grams, pieces
+
+
+def _partners(rows: DataFrame, min_similarity: int) -> DataFrame:
+    """Similar descriptions of the same vendor: no others can be in one pair of invoices.
+
+    A catalogue of texts that vendors share is scored once for all of them, where all pairs of
+    its texts are few against what the vendors use; so neither way tries more than it has to.
+    """
+    own_texts = materialize(rows.select("vendor_id", "text").distinct(), "vendor_texts")
+    texts = materialize(own_texts.select("text").distinct(), "texts")
+    if texts.count() ** 2 <= PAIRS_PER_TEXT * own_texts.count():
+        return materialize(similar_texts(texts, min_similarity, hot_rows=None), "similar_texts")
     return materialize(similar_texts(own_texts, min_similarity, ("vendor_id",)), "similar_texts")
 
 
@@ -138,7 +211,6 @@ def duplicate_pairs(
     amount_tolerance: float = AMOUNT_TOLERANCE,
     min_similarity: int = MIN_SIMILARITY,
     hot_rows: int = HOT_PAIR_ROWS,
-    max_shared_texts: int = MAX_SHARED_TEXTS,
 ) -> DataFrame:
     """The pair report: an invoice, and a later one of its vendor that resembles it.
 
@@ -147,7 +219,7 @@ def duplicate_pairs(
     """
     rows = _dated(invoices)
     bucket = F.floor(F.unix_date("invoice_date") / (date_window + 1)).cast("int")
-    earlier = _with_texts(rows, _partners(rows, min_similarity, max_shared_texts)).select(
+    earlier = _with_texts(rows, _partners(rows, min_similarity)).select(
         "vendor_id",
         F.col("other_text").alias("text"),
         bucket.alias("bucket"),
@@ -187,7 +259,11 @@ def duplicate_pairs(
 
 
 def _spread_hot_groups(
-    earlier: DataFrame, later: DataFrame, keys: list[str], hot_rows: int
+    earlier: DataFrame,
+    later: DataFrame,
+    keys: list[str],
+    hot_rows: int,
+    ids: tuple[str, str] = ("invoice_id", "matched_invoice"),
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Cut a group of many possible pairs into a grid of cells.
 
@@ -211,8 +287,8 @@ def _spread_hot_groups(
         side = side.join(hot, keys, "left").withColumn(own, F.pmod(F.xxhash64(id_col), parts).cast("int"))
         return side.withColumn(other, every).drop("parts")
 
-    earlier = spread(earlier, "invoice_id", "left_part", "right_part")
-    later = spread(later, "matched_invoice", "right_part", "left_part")
+    earlier = spread(earlier, ids[0], "left_part", "right_part")
+    later = spread(later, ids[1], "right_part", "left_part")
     return earlier, later, [*keys, "left_part", "right_part"]
 
 
@@ -238,7 +314,6 @@ def duplicate_flags(
     amount_tolerance: float = AMOUNT_TOLERANCE,
     min_similarity: int = MIN_SIMILARITY,
     flag_side: str = "first",
-    max_shared_texts: int = MAX_SHARED_TEXTS,
 ) -> DataFrame:
     """Distinct invoices with a match: the earlier of a pair, or both sides.
 
@@ -249,9 +324,7 @@ def duplicate_flags(
     if flag_side not in ("first", "both"):
         raise ValueError(f"unknown flag_side {flag_side!r}")
     if amount_tolerance != 1.0:
-        pairs = duplicate_pairs(
-            invoices, date_window, amount_tolerance, min_similarity, max_shared_texts=max_shared_texts
-        )
+        pairs = duplicate_pairs(invoices, date_window, amount_tolerance, min_similarity)
         ids = pairs.select("invoice_id")
         if flag_side == "both":
             ids = ids.union(pairs.select("matched_invoice"))
@@ -267,7 +340,7 @@ def duplicate_flags(
     every = F.array(F.lit("plus"), F.lit("minus"), F.lit("none"))
     seen_by = F.when(F.col("sign") == "none", every).otherwise(F.array("sign", F.lit("none")))
     visible = (
-        _with_texts(days, _partners(rows, min_similarity, max_shared_texts))
+        _with_texts(days, _partners(rows, min_similarity))
         .withColumn("sign", F.explode(seen_by))
         .groupBy("vendor_id", F.col("other_text").alias("text"), "sign", "invoice_date")
         .agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
