@@ -62,8 +62,8 @@ CONTRACT = """
     SELECT word, token FROM state WHERE done ORDER BY word, pos
 """
 CONCATENATE = """
-    SELECT document, unhex(string_agg(digits, '')) AS bytes
-    FROM (SELECT document, pos, digits FROM tokens JOIN vocabulary USING (id) ORDER BY pos) GROUP BY document
+    SELECT document, unhex(string_agg(digits, '' ORDER BY pos)) AS bytes
+    FROM tokens JOIN vocabulary USING (id) GROUP BY document
 """
 
 
