@@ -13,13 +13,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_equal_the_tokenizer(tokenizer, prose):
-    texts = ["", " ", "a\0b c", "\0", "It's, DON'T. x's", "İstanbul ΣΑΣ. ÅB é́ , !?.,;", "<|endoftext|> a", "a b\x0bd\x0ce",
+    texts = ["", " ", "a\0b c", "\0", "It's, DON'T. x's", "İstanbul ΣΑΣ. ÅB é́ , !?.,;", "<|endoftext|> a", "x<|EndOfText|>y, <|startoftext|>", "a b\x0bd\x0ce",
              "x ́y", "123.45, 9.", "日本語、テキスト。", "a.,b. c!! d!", "ﬁ ǅ. ʰ,", prose(1, 3_000)]
     for text, ids in zip(texts, packing.token_ids(pa.array(texts), PATH), strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids

@@ -11,7 +11,8 @@ class, a few thousand at most whatever the input; they are packed first-fit decr
 
 Tokens: the word tokenizer's ids of the whole text without special tokens, then ``END``.
 Ids of distinct words come from the tokenizer itself and are held in a bounded cache; its
-pre-tokenizer drops white space, so words between ASCII white space are encoded apart.
+pre-tokenizer drops white space, so words between ASCII white space are encoded apart. A text
+that holds the string of a special token goes to the tokenizer whole.
 
 Defined results: null and empty texts are documents of one token, ``END``; rows that repeat
 an id are documents of their own; a null id is kept; an empty table gives an empty result;
@@ -41,12 +42,21 @@ END = 1
 SLACK = 1 / 128
 JOINED = 2_000
 
-def _word_cache(path: str) -> WordCache:
+def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    return per_worker(f"tokenizer {path}", lambda: Tokenizer.from_file(path))
+
+
+def _special_tokens(path: str) -> list[str]:
+    """Strings that the tokenizer finds before it splits words, in lower case as it may see them."""
+    found = json.loads(_tokenizer(path).to_str()).get("added_tokens") or []
+    return sorted({token["content"].lower() for token in found})
+
+
+def _word_cache(path: str) -> WordCache:
+    tokenizer = _tokenizer(path)
     mark = tokenizer.encode("\0", add_special_tokens=False).ids
 
     def alone(word: str) -> np.ndarray:
@@ -83,14 +93,21 @@ def word_cache(path: str) -> WordCache:
 def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
     """The ids of each text."""
     cache = word_cache(path)
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    lower = pc.ascii_lower(texts)
+    special = np.zeros(len(texts), bool)
+    for token in per_worker(f"special tokens of {path}", lambda: _special_tokens(path)):
+        special |= pc.match_substring(lower, token).to_numpy(zero_copy_only=False)
+    split = pc.ascii_split_whitespace(lower)
     codes, chunks = coded(split.flatten())
     parts = [cut_mark(w) for w in chunks]
     places = cache.lookup([w for pair in parts for w in pair]).reshape(-1, 2)
     ids, sizes = cache.gather(places[codes].ravel())
     per_chunk = np.concatenate([[0], np.cumsum(sizes.reshape(-1, 2).sum(axis=1))])
     ends = per_chunk[split.offsets.to_numpy() - split.offsets[0].as_py()]
-    return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    found = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    for row in np.flatnonzero(special):  # a special token is found across words, so its text goes whole
+        found[row] = np.array(_tokenizer(path).encode(texts[int(row)].as_py(), add_special_tokens=False).ids, np.int32)
+    return found
 
 
 def cuts(tokens: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int]]:
