@@ -19,10 +19,10 @@ def prose():
 @pytest.fixture(scope="session")
 def documents(spark):
     """(doc_id, text) rows with columns whose names clash with those that operators use inside."""
-    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, part int, run string, key string, n int, node string, label int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, part int, run string, key string, n int, node string, label int, score double, mean double, size long, gram long, anchor long"
 
     def build(rows):
-        full = [(i, t, "en", "s", None if t is None else len(t), 1, 2, "r", "k", 3, "x", 4) for i, t in rows]
+        full = [(i, t, "en", "s", None if t is None else len(t), 1, 2, "r", "k", 3, "x", 4, 42.0, 5.0, 6, 7, 8) for i, t in rows]
         return spark.createDataFrame(full, schema)
 
     return build

@@ -114,6 +114,7 @@ def test_toxic_texts_score_high_on_held_out_rows(labelled):
     assert by_id[None].predicted and not by_id[None].held_out
     kept = toxicity.keep_ordinary(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(not r.predicted for r in found)
+    assert {r.score for r in kept.select("score").collect()} == {42.0}  # the documents' own column
 
 
 def test_held_out_labels_are_not_read(labelled):

@@ -9,10 +9,12 @@ from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_CHARS = 2_000_000
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,7 +44,7 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one slice hold about ``most`` bytes, or a single row."""
     for batch in batches:
-        sizes = batch.column(column).to_pandas().str.len().fillna(0).to_numpy() if batch.num_rows else []
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for row, size in enumerate(sizes):
             if row > start and held + size > most:

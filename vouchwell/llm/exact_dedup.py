@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vouchwell.llm.common import text_of
+from vouchwell.llm.common import BATCH_ROWS, batches_of, text_of
 from vouchwell.storage import materialize
 
 HEAD_CHARS = 48
@@ -132,7 +132,8 @@ def groups(
             yield from close(True)
 
     schema = f"id {kind}, keep_id {kind}, group_size long, first boolean, digest string, part int, run long, edge_text string"
-    rows = materialize(rows.mapInArrow(runs, schema), "sorted_runs")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        rows = materialize(rows.mapInArrow(runs, schema), "sorted_runs")
     inside = rows.where(F.col("part").isNull()).select("id", "keep_id", "group_size", F.col("first").alias("kept"), "digest")
     # Two ends a partition: the runs of one text become one group.
     ends = rows.where(F.col("edge_text").isNotNull())
@@ -142,7 +143,7 @@ def groups(
     outer = (
         rows.where(F.col("part").isNotNull())
         .select("id", "first", "digest", "part", "run")
-        .join(F.broadcast(settled), ["part", "run"])  # two rows a partition at most
+        .join(settled, ["part", "run"])
         .select("id", "keep_id", "group_size", (F.col("first") & (F.col("part") == F.col("lead"))).alias("kept"), "digest")
     )
     return inside.unionByName(outer).select(
@@ -195,8 +196,9 @@ def deduplicate(
             yield out(waiting, True)
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__edge", T.StringType())])
-    rows = materialize(rows.mapInArrow(firsts, schema), "sorted_firsts")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        rows = materialize(rows.mapInArrow(firsts, schema), "sorted_firsts")
     ends = rows.where(F.col("__edge").isNotNull())
     leads = ends.groupBy("__edge").agg(F.min("__part").alias("__part"))
-    ends = ends.join(F.broadcast(leads), ["__edge", "__part"], "left_semi")  # two rows a partition at most
+    ends = ends.join(leads, ["__edge", "__part"], "left_semi")
     return rows.where(F.col("__edge").isNull()).select(*names).unionByName(ends.select(*names))

@@ -30,11 +30,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vouchwell.llm.common import batches_of, per_worker, slices, text_of
+from vouchwell.llm.common import BATCH_ROWS, batches_of, per_worker, slices, text_of
 from vouchwell.storage import BROADCAST_ROWS, broadcast_if_small, materialize
 
 LIMIT = 4096
-BATCH_ROWS = 500
 #: A text with more than one in so many rows is a hot one; there are fewer of those than this.
 HOT_SHARE = 1000
 CACHE_SCHEMA = "digest binary, n_tokens bigint"

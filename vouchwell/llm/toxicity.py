@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchwell.llm import ngram_lm
-from vouchwell.llm.common import PIECE_CHARS, slices, text_of
+from vouchwell.llm.common import BATCH_ROWS, PIECE_CHARS, batches_of, slices, text_of
 from vouchwell.llm.wordcache import coded
 from vouchwell.storage import broadcast_if_small, materialize
 
@@ -45,7 +45,7 @@ THRESHOLD = 0.7
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’¡¿…–—·•。、！？"
 PER = 200.0
 COUNTS = ["ordinary", "toxic", "toxic_documents", "documents"]
-_EVIDENCE, _LABEL, _MEAN, _SUM = "__evidence", "__label", "__mean", "__sum"
+_EVIDENCE, _LABEL, _MEAN, _SCORE, _SUM = "__evidence", "__label", "__mean", "__score", "__sum"
 
 
 def words(texts: list[str | None], most: int = PIECE_CHARS) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
@@ -137,12 +137,14 @@ def log_ratios(counted: DataFrame, all_toxic: int, all_ordinary: int) -> DataFra
     return counted.select("gram", value.alias("value")).where(certain & (F.abs("value") >= LEAST))
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """``docs`` with a column score."""
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", into: str = "score"
+) -> DataFrame:
+    """``docs`` with a column ``into``."""
     known = _training(labels, id_col, label_col)
     n, toxic = known.agg(F.count("*"), F.sum(_LABEL)).first()
     if not n or toxic in (0, n):
-        return docs.withColumn("score", F.lit(1.0 if n and toxic else 0.0))
+        return docs.withColumn(into, F.lit(1.0 if n and toxic else 0.0))
     kept = known.where("__curve").count()
     if kept > CURVE_ROWS:  # the others are counted
         enters = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(CURVE_ROWS / kept * (1 << 30))
@@ -151,7 +153,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = _counts(texts.select(text_of(text_col).alias("text"), F.col(_LABEL).alias("label"), F.col("__curve").alias("curve")))
     present = found.agg(*(F.sum(c) for c in ("toxic", "ordinary", "toxic_rest", "ordinary_rest"))).first()
     if not present[0] or not present[1]:
-        return docs.withColumn("score", F.lit(toxic / n))
+        return docs.withColumn(into, F.lit(toxic / n))
 
     def ratios(labels: DataFrame, part: str) -> DataFrame:
         every = {row[_LABEL]: row["count"] for row in labels.groupBy(_LABEL).count().collect()}
@@ -174,7 +176,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if 0 < y.sum() < len(y):
             by_mean, by_sum, offset = ngram_lm.logistic(x, y)
     height = F.col(_MEAN) * by_mean + F.col(_SUM) * by_sum + offset
-    return evidence(docs, ratios(known, "")).withColumn("score", 1 / (1 + F.exp(-height))).drop(_MEAN, _SUM)
+    return evidence(docs, ratios(known, "")).withColumn(into, 1 / (1 + F.exp(-height))).drop(_MEAN, _SUM)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,5 +187,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_c
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
-    return score(docs, labels).where(F.col("score") < threshold).select(*docs.columns)
+    """The documents that are not rejected, with all their columns; written here, in batches that long texts do not swell."""
+    scored = score(docs, labels, into=_SCORE).where(F.col(_SCORE) < threshold).select(*docs.columns)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return materialize(scored, "ordinary")
