@@ -583,5 +583,124 @@ def model_oracles() -> dict[str, str]:
     }
 
 
+def path_length(n: str) -> str:
+    full = f"2.0::DOUBLE * (ln({n} - 1.0::DOUBLE) + {EULER!r}::DOUBLE) - 2.0::DOUBLE * ({n} - 1.0::DOUBLE) / {n}"
+    return f"CASE WHEN {n} <= 1 THEN 0.0::DOUBLE WHEN {n} = 2 THEN 1.0::DOUBLE ELSE {full} END"
+
+
+EULER = 0.5772156649015329
+TREES = 8
+CTES["coded"] = (
+    "SELECT invoice_id, ["
+    + ", ".join(half_up(f"coalesce(({c} - avg_{c}) / dev_{c}, 0)", 4) for c in NUMERIC)
+    + "] AS x, ["
+    + ", ".join(f"coalesce({c}, (SELECT value FROM modes WHERE column_name = '{c}'))" for c in CATEGORICAL)
+    + f"] AS c FROM (SELECT invoice_id, {', '.join(CATEGORICAL)} FROM mart_full) JOIN filled USING (invoice_id), filled_stats"
+)
+
+
+def forest_ctes(sample: int) -> dict[str, str]:
+    """A forest of ``TREES`` trees on ``sample`` rows each, level by level; names end in the sample size."""
+    limit = (sample - 1).bit_length()
+    t = {
+        f"rates{sample}": f"""
+SELECT pool, least(1.0::DOUBLE, 1.5::DOUBLE * {sample} / greatest(total * pool, 1.0::DOUBLE)) AS share
+FROM (SELECT count(*) AS total, least(1.0::DOUBLE, 1.3::DOUBLE * {TREES} * {sample} / greatest(count(*), 1)) AS pool FROM coded)""",
+        f"drawn{sample}": f"""
+SELECT invoice_id, x, c, tree, ('0x' || substr(md5(invoice_id || '|42|' || tree // 4), 8 * (tree % 4) + 1, 8))::BIGINT AS draw
+FROM coded, rates{sample}, (SELECT unnest(range({TREES}))::INTEGER AS tree)
+WHERE ('0x' || left(md5(invoice_id || '|42'), 8))::BIGINT < floor(pool * 4294967296)""",
+        f"sampled{sample}": f"""
+SELECT tree, invoice_id, x, c FROM drawn{sample}, rates{sample} WHERE draw < floor(share * 4294967296)
+QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, invoice_id) <= {sample}""",
+        f"rows{sample}_0": f"SELECT tree, 1 AS node, x, c FROM sampled{sample}",
+    }
+    for depth in range(limit + 1):
+        rows, split = f"rows{sample}_{depth}", f"split{sample}_{depth}"
+        cut = f"""low + ('0x' || substr(digest, 14, 13))::BIGINT / {float(16**13)!r}::DOUBLE * (high - low)"""
+        t[f"options{sample}_{depth}"] = f"""
+SELECT *, row_number() OVER (PARTITION BY tree, node ORDER BY feature, category) - 1 AS place,
+    count(*) OVER (PARTITION BY tree, node) AS places, md5('42|' || tree || '|' || node) AS digest
+FROM (SELECT tree, node, feature, min(v) AS low, max(v) AS high, NULL::VARCHAR AS category
+    FROM (SELECT tree, node, unnest(range({len(NUMERIC)})) AS feature, unnest(x) AS v FROM {rows})
+    GROUP BY tree, node, feature HAVING max(v) > min(v)
+    UNION ALL
+    SELECT tree, node, feature, 0.0, 1.0, category FROM (
+        SELECT DISTINCT tree, node, unnest(range({len(NUMERIC)}, {len(NUMERIC) + len(CATEGORICAL)})) AS feature,
+            unnest(c) AS category FROM {rows})
+    QUALIFY count(*) OVER (PARTITION BY tree, node, feature) > 1)"""
+        t[split] = f"""
+SELECT n.tree, n.node, o.feature, o.category,
+    CASE WHEN o.feature IS NOT NULL AND o.category IS NULL THEN {cut} ELSE 0.0::DOUBLE END AS threshold,
+    CASE WHEN o.feature IS NULL THEN {depth} + {path_length("n.n")} ELSE 0.0::DOUBLE END AS length
+FROM (SELECT tree, node, count(*) AS n FROM {rows} GROUP BY tree, node) n
+LEFT JOIN options{sample}_{depth} o ON o.tree = n.tree AND o.node = n.node AND {str(depth < limit).lower()}
+    AND o.place = ('0x' || left(o.digest, 13))::BIGINT % o.places"""
+        if depth < limit:
+            t[f"rows{sample}_{depth + 1}"] = f"""
+SELECT r.tree, CASE WHEN {_goes_left("r", "s")} THEN 2 * r.node ELSE 2 * r.node + 1 END AS node, r.x, r.c
+FROM {rows} r JOIN {split} s ON r.tree = s.tree AND r.node = s.node WHERE s.feature IS NOT NULL"""
+    t[f"nodes{sample}"] = " UNION ALL ".join(f"SELECT * FROM split{sample}_{depth}" for depth in range(limit + 1))
+    walk = f"SELECT invoice_id, tree, 1 AS node, 0.0::DOUBLE AS length, x, c FROM coded, (SELECT unnest(range({TREES})) AS tree)"
+    for depth in range(limit + 1):
+        t[f"walk{sample}_{depth}"] = walk
+        walk = f"""
+SELECT w.invoice_id, w.tree, CASE WHEN s.feature IS NULL THEN NULL WHEN {_goes_left("w", "s")} THEN 2 * w.node
+        ELSE 2 * w.node + 1 END AS node, coalesce(s.length, w.length) AS length, w.x, w.c
+FROM walk{sample}_{depth} w LEFT JOIN split{sample}_{depth} s ON w.tree = s.tree AND w.node = s.node"""
+    t[f"ends{sample}"] = walk
+    t[f"paths{sample}"] = f"""
+SELECT invoice_id, sum(length) AS total, sum(length) FILTER (tree < {TREES // 2}) AS half FROM ends{sample} GROUP BY invoice_id"""
+    norm = path_length(f"{sample}::DOUBLE")
+    t[f"raw{sample}"] = f"""
+SELECT invoice_id, {half_up(f"-pow(2.0::DOUBLE, -total / ({norm} * {TREES}))", 6)} AS raw_score,
+    {half_up(f"-pow(2.0::DOUBLE, -half / ({norm} * {TREES // 2}))", 6)} AS half_score FROM paths{sample}"""
+    return t
+
+
+def _goes_left(row: str, split: str) -> str:
+    return f"""(CASE WHEN {split}.category IS NULL THEN {row}.x[{split}.feature + 1] <= {split}.threshold
+        ELSE {row}.c[{split}.feature - {len(NUMERIC) - 1}] <> {split}.category END)"""
+
+
+for _size in (32, 64):
+    CTES |= forest_ctes(_size)
+_settings = [
+    f"SELECT {size} AS sample_rows, {trees} AS n_trees, {share}::DOUBLE AS contamination, {column} AS score, fraud_label,"
+    f" quantile_cont({column}, {share}) OVER () AS threshold FROM raw{size} LEFT JOIN truth USING (invoice_id)"
+    for size in (32, 64)
+    for trees, column in ((4, "half_score"), (8, "raw_score"))
+    for share in (0.01, 0.02, 0.05, 0.1)
+]
+CTES["swept"] = f"""
+SELECT sample_rows, n_trees, contamination, threshold,
+    count(*) FILTER (fraud_label = 1 AND score < threshold) AS tp,
+    count(*) FILTER (fraud_label IS NULL AND score < threshold) AS fp,
+    count(*) FILTER (fraud_label = 1 AND score >= threshold) AS fn,
+    count(*) FILTER (fraud_label IS NULL AND score >= threshold) AS tn
+FROM ({" UNION ALL ".join(_settings)}) GROUP BY sample_rows, n_trees, contamination, threshold"""
+CTES["swept_rates"] = """
+SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall FROM swept"""
+CTES["swept_f1"] = """
+SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1_score FROM swept_rates"""
+
+
+def forest_oracles() -> dict[str, str]:
+    names = "[" + ", ".join(f"'{c}'" for c in [*NUMERIC, *CATEGORICAL]) + "]"
+    ranked = f"""SELECT CAST(row_number() OVER (ORDER BY f1_score DESC, recall DESC, sample_rows, n_trees, contamination) AS INTEGER) AS rank,
+        sample_rows, n_trees, contamination, {half_up("threshold", 6)} AS threshold, tp, fp, fn, tn,
+        {half_up("precision", 6)} AS precision, {half_up("recall", 6)} AS recall, {half_up("f1_score", 6)} AS f1_score
+        FROM swept_f1"""
+    return {
+        "iforest_samples": with_ctes("SELECT tree, invoice_id FROM sampled64"),
+        "iforest_nodes": with_ctes(
+            f"SELECT tree, node, {names}[feature + 1] AS feature, {half_up('threshold', 6)} AS threshold, category, "
+            f"{half_up('length', 6)} AS length FROM nodes64"
+        ),
+        "iforest_small": with_ctes("SELECT invoice_id, raw_score FROM raw64"),
+        "iforest_sweep": with_ctes(ranked, _INJECTED),
+    }
+
+
 def oracles() -> dict[str, str]:
-    return rule_oracles() | score_oracles() | model_oracles()
+    return rule_oracles() | score_oracles() | model_oracles() | forest_oracles()

@@ -99,21 +99,36 @@ def brute_lof(x, c, ids, k):
     return {i: ids[o].tolist() for i, o in zip(ids, order)}, -density[order].mean(1) / density
 
 
-@pytest.mark.parametrize(("group_rows", "max_pivots"), [(40, 2), (5, 4096)])
-def test_neighbours_and_factors_equal_brute_force(spark, group_rows, max_pivots):
+@pytest.mark.parametrize(("group_rows", "max_leaves"), [(40, 2), (25, 4096)])
+def test_neighbours_and_factors_equal_brute_force(spark, group_rows, max_leaves):
     encoded, encoder, outliers = blob(spark)
     rows = lof.points(encoded, encoder)
     rows = rows.union(rows.limit(30).select(F.concat(F.lit("J"), "invoice_id"), "x", "c"))  # exact copies
     pdf = rows.toPandas().sort_values("invoice_id", ignore_index=True)
     x, c, ids = np.stack(pdf["x"]), np.stack(pdf["c"]), pdf["invoice_id"].to_numpy()
     expected, factors = brute_lof(x, c, ids, 20)
-    found = lof.nearest_neighbors(rows, 20, group_rows, max_pivots)
+    found = lof.nearest_neighbors(rows, 20, group_rows, max_leaves)
     got = found.toPandas().sort_values(["invoice_id", "rank"]).groupby("invoice_id")["neighbor"].agg(list).to_dict()
     assert got == expected
     scores = lof.outlier_factors(found).toPandas().set_index("invoice_id")["anomaly_score"]
     assert scores[ids].to_numpy() == pytest.approx(factors)
 
 
+def test_boxes_keep_rows_from_far_pieces(spark):
+    """Clusters far apart are not compared, and an outlier's wide search does not widen its neighbours'."""
+    rng = np.random.default_rng(5)
+    rows = [(f"I{n:04d}", [float(100 * (n % 8)), *rng.normal(size=2).tolist()], [n % 8]) for n in range(800)]
+    rows.append(("OUT", [350.0, 900.0, 0.0], [9]))
+    df = spark.createDataFrame(rows, "invoice_id string, x array<double>, c array<bigint>")
+    counts = lof.routed_copies(df, 10, 50, 64).first()
+    assert counts["total"] == 801 and counts["pieces"] >= 16
+    assert counts["copies"] < 5 * 801
+    x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    expected, _ = brute_lof(x, c, np.array([r[0] for r in rows]), 10)
+    found = lof.nearest_neighbors(df, 10, 50, 64).toPandas().sort_values(["invoice_id", "rank"])
+    assert found.groupby("invoice_id")["neighbor"].agg(list).to_dict() == expected
+
+
 def test_lof_flags_outliers(spark):
     encoded, encoder, outliers = blob(spark)
     predicted = lof.predictions(encoded, encoder)

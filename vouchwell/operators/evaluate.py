@@ -51,6 +51,13 @@ def metrics(counts: DataFrame) -> DataFrame:
     )
 
 
+def with_rates(counts: DataFrame) -> DataFrame:
+    """The counts with precision, recall and F1 beside them."""
+    tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
+    return counts.withColumns({"precision": precision, "recall": recall, "f1_score": _f1(precision, recall)})
+
+
 def confusion_matrix(counts: DataFrame) -> DataFrame:
     def row(name, normal, fraud):
         return F.struct(F.lit(name).alias("actual"), F.col(normal).alias("pred_normal"), F.col(fraud).alias("pred_fraud"))

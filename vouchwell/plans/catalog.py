@@ -342,6 +342,43 @@ def _forest_report(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     return evaluate.class_report(evaluate.outcome_counts(evaluate.with_labels(predicted, labels)))
 
 
+# A forest that SQL can follow; scaled numbers are rounded, so both see equal ones.
+SMALL_TREES, SMALL_SAMPLE, ENCODED_DIGITS = 8, 64, 4
+SWEEP = {"tree_counts": [4, 8], "sample_sizes": [32, 64], "contaminations": [0.01, 0.02, 0.05, 0.1]}
+SWEEP_DIGITS = dict.fromkeys(["threshold", "precision", "recall", "f1_score"], 6)
+
+
+def _small(invoices: DataFrame, vendors: DataFrame) -> jobs.Prepared:
+    return jobs.prepared(invoices, vendors, digits=ENCODED_DIGITS)
+
+
+def _small_forest(data: jobs.Prepared) -> iforest.Forest:
+    return iforest.fit_forest(data.encoded, data.encoder, SMALL_TREES, SMALL_SAMPLE)
+
+
+def _forest_samples(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    data = _small(invoices, vendors)
+    return iforest.sampled(data.encoded, data.encoder, SMALL_TREES, SMALL_SAMPLE)[0].select("tree", "invoice_id")
+
+
+def _forest_nodes(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """The small forest's nodes, saved and read, with the names of their features."""
+    spark, path = invoices.sparkSession, run_folder(invoices.sparkSession, "forest")
+    iforest.save_forest(spark, _small_forest(_small(invoices, vendors)), path)
+    return rounded(iforest.named_nodes(spark, iforest.load_forest(spark, path)), {"threshold": 6, "length": 6})
+
+
+def _small_scores(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    data = _small(invoices, vendors)
+    scored = iforest.with_scores(data.encoded, _small_forest(data))
+    return rounded(scored.select("invoice_id", "raw_score"), {"raw_score": 6})
+
+
+def _forest_sweep(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    found = jobs.forest_sweep(invoices, vendors, {"id_scheme": "prefix"}, ENCODED_DIGITS, **SWEEP)
+    return rounded(found, SWEEP_DIGITS)
+
+
 def _autoencoder_history(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     rows, model = jobs.trained_autoencoder(jobs.prepared(invoices, vendors))
     return model.history(rows.sparkSession)
@@ -361,6 +398,10 @@ def model_queries() -> dict[str, Query]:
         "iforest_top": _detector(jobs.isolation_forest, iforest.most_suspicious),
         "iforest_summary": _detector(jobs.isolation_forest, iforest.prediction_summary),
         "iforest_class_report": _both(_forest_report),
+        "iforest_samples": _both(_forest_samples),
+        "iforest_nodes": _both(_forest_nodes),
+        "iforest_small": _both(_small_scores),
+        "iforest_sweep": _both(_forest_sweep),
         "lof_predictions": _detector(jobs.local_outlier_factor),
         "lof_top": _detector(jobs.local_outlier_factor, iforest.most_suspicious),
         "autoencoder_history": _both(_autoencoder_history),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vouchwell.functions.scalar import round_half_up
 from vouchwell.operators import (
     autoencoder,
     benford,
@@ -18,6 +20,7 @@ from vouchwell.operators import (
     lof,
     shell_vendor,
     staging,
+    sweep,
     threshold,
     vote,
 )
@@ -95,16 +98,29 @@ class Prepared:
     encoder: encode.Encoder
 
 
-def prepared(invoices: DataFrame, vendors: DataFrame, feature_set: str = "reference") -> Prepared:
+def prepared(
+    invoices: DataFrame, vendors: DataFrame, feature_set: str = "reference", digits: int | None = None
+) -> Prepared:
+    """``digits`` rounds the scaled numbers, so that summation order cannot move a row over a cut."""
     mart = materialize(feature_mart(invoices, vendors), "invoice_features")
     encoder = encode.fit_encoder(mart, feature_set)
-    return Prepared(encoder.transform(mart), encoder)
+    encoded = encoder.transform(mart)
+    if digits is not None:
+        encoded = encoded.withColumns({c: round_half_up(F.col(c), digits) for c in encoder.numeric})
+    return Prepared(encoded, encoder)
 
 
 def isolation_forest(data: Prepared) -> DataFrame:
     return iforest.predictions(data.encoded, iforest.fit_forest(data.encoded, data.encoder))
 
 
+def forest_sweep(invoices: DataFrame, vendors: DataFrame, injection: dict | None = None, digits: int | None = None, **grid) -> DataFrame:
+    """Forest settings ranked by how well they find injected near-duplicates; ``grid`` as in ``sweep.sweep``."""
+    augmented, labels = inject.inject_duplicates(invoices, **(injection or {}))
+    data = prepared(augmented, vendors, digits=digits)
+    return sweep.sweep(data.encoded, data.encoder, labels, **grid)
+
+
 def local_outlier_factor(data: Prepared) -> DataFrame:
     return lof.predictions(data.encoded, data.encoder)
 
