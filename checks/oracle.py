@@ -685,6 +685,67 @@ CTES["swept_f1"] = """
 SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1_score FROM swept_rates"""
 
 
+HIDDEN = [64, 32, 16, 32, 64]
+CTES["onehots"] = (
+    f"SELECT k, value, {len(NUMERIC)} + row_number() OVER (ORDER BY k, value) - 1 AS place FROM (SELECT DISTINCT"
+    f" unnest(range({len(CATEGORICAL)})) AS k, unnest(c) AS value FROM coded)"
+)
+CTES["net_width"] = f"SELECT {len(NUMERIC)} + count(*) AS width FROM onehots"
+
+
+_relu = "list_transform({}, lambda v: greatest(v, 0.0::DOUBLE))"
+CTES["net_input"] = """
+SELECT invoice_id, any_value(x) AS x, list(place ORDER BY place) AS hot
+FROM (SELECT invoice_id, x, unnest(range(len(c))) AS k, unnest(c) AS value FROM coded) JOIN onehots USING (k, value)
+GROUP BY invoice_id"""
+# The weights of every layer are one list of lists; a row meets each once.
+CTES["net_weights"] = "SELECT " + ", ".join(
+    f"list_transform(range({b}), lambda j: list_transform(range({a}), lambda i: "
+    f"((7 * i + 13 * j + 31 * {layer}) % 101 - 50) / 400.0::DOUBLE)) AS w{layer}, "
+    f"list_transform(range({b}), lambda j: ((17 * j + {5 * layer}) % 11 - 5) / 50.0::DOUBLE) AS b{layer}"
+    for layer, (a, b) in enumerate(zip(["width", *HIDDEN], [*HIDDEN, "width"]))
+) + " FROM net_width"
+
+
+def _layer(layer: int, source: str, extra: str = "") -> str:
+    return (
+        f"list_transform(range(1, len(w{layer}) + 1), lambda j: list_dot_product({source}, w{layer}[j]){extra} + b{layer}[j])"
+    )
+
+
+CTES["net0"] = f"""
+SELECT invoice_id, x, hot, {_layer(0, "x", " + list_sum(list_transform(hot, lambda p: v0[j][p + 1]))")} AS a
+FROM net_input, (SELECT b0, w0 AS v0, list_transform(w0, lambda w: w[1:{len(NUMERIC)}]) AS w0 FROM net_weights)"""
+CTES["net1"] = """
+SELECT invoice_id, x, hot, list_transform(range(64), lambda j: (greatest(a[j + 1], 0.0::DOUBLE) - j % 7 / 20.0::DOUBLE)
+    / sqrt(1.0::DOUBLE + j % 4 / 4.0::DOUBLE + 1e-3::DOUBLE) * (1.0::DOUBLE + j % 5 / 10.0::DOUBLE) + (j % 3 - 1) / 10.0::DOUBLE) AS a
+FROM net0"""
+for _k in range(1, 5):
+    CTES[f"net{_k + 1}"] = f"SELECT invoice_id, x, hot, {_relu.format(_layer(_k, 'a'))} AS a FROM net{_k}, net_weights"
+CTES["net_out"] = f"SELECT invoice_id, x, hot, {_layer(5, 'a')} AS y FROM net5, net_weights"
+CTES["net_errors"] = f"""
+SELECT invoice_id, (list_sum(list_transform(y, lambda v: v * v))
+    - 2 * list_dot_product(y[1:{len(NUMERIC)}], x) + list_dot_product(x, x)
+    - 2 * list_sum(list_transform(hot, lambda p: y[p + 1])) + len(hot)) / len(y) AS reconstruction_error FROM net_out"""
+
+
+def artifact_oracles() -> dict[str, str]:
+    scaled = ", ".join(f"{half_up(f'coalesce(({c} - avg_{c}) / dev_{c}, 0)', 4)} AS {c}" for c in NUMERIC)
+    ones = " || ',' || ".join(f"'categorical__{c}_' || c[{i + 1}]" for i, c in enumerate(CATEGORICAL))
+    plain = {
+        "saved_predictions": f"SELECT {METADATA}, anomaly_score, prediction FROM lowest JOIN zscores USING (invoice_id)",
+        "saved_threshold": f"""SELECT invoice_id, reconstruction_error, prediction, {half_up("threshold", 6)} AS threshold
+            FROM zlabels, zlimit""",
+        "mart_after_append": "SELECT * FROM mart",
+        "saved_matrix": f"SELECT invoice_id, {scaled}, {ones} AS ones FROM filled JOIN coded USING (invoice_id), filled_stats",
+        "reconstruction_fixed": f"""SELECT invoice_id, {half_up("reconstruction_error", 6)} AS reconstruction_error
+            FROM net_errors""",
+    }
+    return {name: with_ctes(sql) for name, sql in plain.items()} | {
+        "saved_evaluation": with_ctes("SELECT * FROM judged", _INJECTED)
+    }
+
+
 def forest_oracles() -> dict[str, str]:
     names = "[" + ", ".join(f"'{c}'" for c in [*NUMERIC, *CATEGORICAL]) + "]"
     ranked = f"""SELECT CAST(row_number() OVER (ORDER BY f1_score DESC, recall DESC, sample_rows, n_trees, contamination) AS INTEGER) AS rank,
@@ -703,4 +764,4 @@ def forest_oracles() -> dict[str, str]:
 
 
 def oracles() -> dict[str, str]:
-    return rule_oracles() | score_oracles() | model_oracles() | forest_oracles()
+    return rule_oracles() | score_oracles() | model_oracles() | forest_oracles() | artifact_oracles()

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vouchwell.operators.quantiles import exact_quantiles
 from vouchwell.sources.files import write_table
+from vouchwell.storage import broadcast_if_small, materialize
 
 # The descriptive columns of the output tables.
 METADATA_COLUMNS = [
@@ -155,6 +157,81 @@ def save_artifacts(folder: str, encoded: DataFrame, encoder: Encoder, vectorizer
     write_table(feature_matrix(encoded, vectorizer), f"{folder}/feature_matrix")
 
 
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with their place in an order, from 0, found without a task that sees them all."""
+    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    spread = materialize(spread.withColumns({"_part": F.spark_partition_id(), "_inside": inside}), "sorted_rows")
+    sizes = spread.groupBy("_part").agg((F.max("_inside") + 1).alias("n"))
+    ahead = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
+    starts = sizes.select("_part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_start"))
+    placed = spread.join(F.broadcast(starts), "_part")
+    return placed.withColumn("position", F.col("_start") + F.col("_inside")).drop("_part", "_inside", "_start")
+
+
+def save_matrix(folder: str, encoded: DataFrame, encoder: Encoder) -> None:
+    """Encoder, column names and the sparse matrix, all as tables; the driver holds no category list.
+
+    ``feature_names`` has a row per column: position, name, and for one-hot columns the column
+    and value they stand for. ``feature_matrix`` has the descriptive columns, the numbers in
+    order and the positions of the ones.
+    """
+    spark = encoded.sparkSession
+    save_encoder(spark, encoder, f"{folder}/encoder")
+    order = {c: i for i, c in enumerate(encoder.categorical)}
+    rank = F.coalesce(*[F.when(F.col("column_name") == c, i) for c, i in order.items()], F.lit(len(order)))
+    hot = numbered(categories(encoded, encoder).withColumn("_rank", rank), "_rank", "value")
+    named = F.concat(F.lit("categorical__"), "column_name", F.lit("_"), "value").alias("name")
+    hot = hot.select((F.col("position") + len(encoder.numeric)).alias("position"), named, "column_name", "value")
+    plain = [(i, f"numeric__{c}", c, None) for i, c in enumerate(encoder.numeric)]
+    names = spark.createDataFrame(plain, "position long, name string, column_name string, value string").unionByName(hot)
+    write_table(names, f"{folder}/feature_names")
+    names = spark.read.parquet(f"{folder}/feature_names").filter(F.col("value").isNotNull())
+    rows = encoded.select(
+        *METADATA_COLUMNS, F.array(*[F.col(c).cast("double") for c in encoder.numeric]).alias("numbers"),
+        *[F.col(c).alias(f"_{c}") for c in encoder.categorical],
+    )
+    for c in encoder.categorical:
+        own = names.filter(F.col("column_name") == c).select(F.col("value").alias(f"_{c}"), F.col("position").alias(f"_{c}_at"))
+        rows = rows.join(broadcast_if_small(own), f"_{c}", "left")
+    ones = F.array_compact(F.array(*[F.col(f"_{c}_at") for c in encoder.categorical]))
+    write_table(rows.select(*METADATA_COLUMNS, "numbers", ones.alias("ones")), f"{folder}/feature_matrix")
+
+
+@dataclass
+class SavedMatrix:
+    """What ``save_matrix`` wrote."""
+
+    encoder: Encoder
+    names: DataFrame
+    matrix: DataFrame
+
+    def encoded(self) -> DataFrame:
+        """Scaled numbers and categories under their column names, as ``Encoder.transform`` gives them."""
+        numbers = [F.col("numbers")[i].alias(c) for i, c in enumerate(self.encoder.numeric)]
+        rows = self.matrix.select(*METADATA_COLUMNS, *numbers, "ones")
+        offset = F.lit(0)
+        for c in self.encoder.categorical:
+            own = self.names.filter((F.col("column_name") == c) & F.col("value").isNotNull())
+            own = own.select(F.col("position").alias("_at"), F.col("value").alias(c))
+            bounds = own.agg(F.min("_at").alias("low"), F.max("_at").alias("high")).first()
+            mine = F.filter("ones", _between(bounds["low"], bounds["high"]))
+            rows = rows.withColumn("_at", F.get(mine, offset)).join(broadcast_if_small(own), "_at", "left").drop("_at")
+        return rows.drop("ones")
+
+
+def _between(low: int | None, high: int | None):
+    return lambda place: (place >= F.lit(low)) & (place <= F.lit(high))
+
+
+def load_matrix(spark: SparkSession, folder: str) -> SavedMatrix:
+    return SavedMatrix(
+        load_encoder(spark, f"{folder}/encoder"),
+        spark.read.parquet(f"{folder}/feature_names"),
+        spark.read.parquet(f"{folder}/feature_matrix"),
+    )
+
+
 def onehot_rows(encoded: DataFrame, encoder: Encoder, known: DataFrame | None = None) -> DataFrame:
     """The one-hot part of the matrix as (invoice_id, feature) rows.
 

@@ -50,10 +50,20 @@ def _previous_and_rolling(ordered: W) -> dict[str, Column]:
 
 def with_history(staged: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Vendor statistics, previous invoice, rolling and cumulative amounts, account counts."""
-    counts = materialize(
-        staged.groupBy("vendor_id", "bank_account_id").agg(F.count(F.lit(1)).alias("n")), "vendor_counts"
-    )
-    vendor_rows = counts.groupBy("vendor_id").agg(F.sum("n").alias("n"))
+    counts = materialize(account_counts(staged, "vendor_id"), "vendor_counts")
+    accounts = counts.groupBy("bank_account_id").agg(F.sum("n").alias("n"))
+    return with_account_counts(vendor_history(staged, max_group_rows, counts), accounts)
+
+
+def account_counts(staged: DataFrame, *keys: str) -> DataFrame:
+    """Invoices per bank account (and ``keys``)."""
+    return staged.groupBy(*keys, "bank_account_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def vendor_history(staged: DataFrame, max_group_rows: int = MAX_GROUP_ROWS, counts: DataFrame | None = None) -> DataFrame:
+    """What depends on the invoices of the same vendor only."""
+    vendor_rows = (counts if counts is not None else account_counts(staged, "vendor_id")).groupBy("vendor_id")
+    vendor_rows = vendor_rows.agg(F.sum("n").alias("n"))
     heaviest = vendor_rows.agg(F.max("n")).first()[0] or 0
     # Undated rows come last.
     rows = staged.withColumn("_day", F.coalesce("invoice_date", F.lit("9999-12-31").cast("date")))
@@ -61,7 +71,7 @@ def with_history(staged: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> Dat
         rows = _whole_vendors(rows)
     else:
         rows = _sliced_vendors(rows, vendor_rows, max_group_rows)
-    return _with_account_counts(rows.drop("_day"), counts)
+    return rows.drop("_day")
 
 
 def _whole_vendors(rows: DataFrame) -> DataFrame:
@@ -76,22 +86,21 @@ def _whole_vendors(rows: DataFrame) -> DataFrame:
     )
 
 
-def _with_account_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """Invoices per bank account, from vendor-level counts; NULL is one account."""
-    accounts = counts.groupBy(F.col("bank_account_id").alias("_account")).agg(
-        F.sum("n").alias("bank_account_vendor_count")
+def with_account_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Invoices per bank account from (bank_account_id, n); NULL is one account."""
+    accounts = broadcast_if_small(
+        counts.select(F.col("bank_account_id").alias("_account"), F.col("n").alias("bank_account_vendor_count"))
     )
-    accounts = broadcast_if_small(accounts)
     return rows.join(accounts, rows["bank_account_id"].eqNullSafe(F.col("_account")), "left").drop("_account")
 
 
 def _position(sorted_values: Column, value: Column) -> Column:
-    """How many entries of a sorted array are <= value, by halving steps."""
-    steps = F.array(*[F.lit(2**k) for k in range(20, -1, -1)])
+    """How many entries of a sorted array are <= value, by halving steps; as many as any array's size has bits."""
+    steps = F.array(*[F.lit(2**k) for k in range(30, -1, -1)])
 
     def step(pos, width):
-        reach = pos + width
-        fits = (reach <= F.size(sorted_values)) & (F.get(sorted_values, reach - 1) <= value)
+        reach = pos + F.least(width, F.size(sorted_values))
+        fits = (pos + width.cast("long") <= F.size(sorted_values)) & (F.get(sorted_values, reach - 1) <= value)
         return F.when(fits, reach).otherwise(pos)
 
     return F.when(sorted_values.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))

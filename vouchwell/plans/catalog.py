@@ -19,6 +19,7 @@ from vouchwell.operators import (
     iforest,
     inject,
     lof,
+    mart_store,
     quality,
     shell_vendor,
     staging,
@@ -155,6 +156,64 @@ def _saved_injection(invoices: DataFrame) -> DataFrame:
     return files.read_labels(invoices.sparkSession, f"{folder}/fraud_labels")
 
 
+def _mart_after_append(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """A sixteenth of the invoices of every fourth vendor are appended to a mart of the others."""
+    staged = staging.stg_invoices(invoices, vendors)
+    late = (F.substring(F.md5("invoice_id"), 1, 1) == "0") & (F.substring("vendor_id", -2, 2).cast("int") % 4 == 0)
+    folder = run_folder(invoices.sparkSession, "mart_store")
+    mart_store.create(staged.filter(~F.coalesce(late, F.lit(False))), folder)
+    mart_store.append(staged.filter(late), folder)
+    return rounded(mart_store.read(invoices.sparkSession, folder))
+
+
+def _saved_matrix(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """The matrix, written and read: scaled numbers, and the names of the ones."""
+    spark, folder = invoices.sparkSession, run_folder(invoices.sparkSession, "matrix")
+    data = jobs.prepared(invoices, vendors)
+    encode.save_matrix(folder, data.encoded, data.encoder)
+    saved = encode.load_matrix(spark, folder)
+    numeric, categorical = saved.encoder.numeric, saved.encoder.categorical
+    names = F.concat_ws(",", *[F.concat(F.lit(f"categorical__{c}_"), F.col(c)) for c in categorical])
+    return rounded(saved.encoded().select("invoice_id", *numeric, names.alias("ones")), dict.fromkeys(numeric, 4))
+
+
+def _saved_predictions(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Predictions with their metadata, as CSV and back."""
+    spark, path = invoices.sparkSession, run_folder(invoices.sparkSession, "predictions")
+    predicted = _lowest_scores(invoices, vendors)
+    files.write_csv(predicted, path)
+    return files.read_results(spark, path, predicted.schema)
+
+
+def _saved_evaluation(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    path = run_folder(invoices.sparkSession, "evaluation")
+    judged = _evaluated(invoices, vendors)
+    files.write_csv(judged, path)
+    return files.read_results(invoices.sparkSession, path, judged.schema)
+
+
+def _saved_threshold(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Errors and labels beside the threshold that gave them, from two saved tables."""
+    spark, folder = invoices.sparkSession, run_folder(invoices.sparkSession, "threshold")
+    labelled, limit = _zscore_labels(invoices, vendors)
+    jobs.save_threshold(labelled, limit, folder)
+    errors, limits = (files.read_table(spark, f"{folder}/{name}") for name in ("autoencoder_predictions", "threshold"))
+    limit = limits.first()["threshold"]
+    found = errors.select("invoice_id", "reconstruction_error", "prediction", F.lit(limit).alias("threshold"))
+    return rounded(found, {"threshold": 6})
+
+
+def _fixed_reconstruction(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Errors under a network of stated weights that was saved and loaded."""
+    spark, path = invoices.sparkSession, run_folder(invoices.sparkSession, "autoencoder")
+    data = _small(invoices, vendors)
+    rows, width = autoencoder.inputs(data.encoded, data.encoder, encode.fit_vectorizer(data.encoded, data.encoder))
+    network = autoencoder.Network(width)
+    autoencoder.save_model(spark, autoencoder.Autoencoder(network, network.stated(), [(1, 0.0, 0.0)]), path)
+    errors = autoencoder.with_errors(rows, autoencoder.load_model(spark, path))
+    return rounded(errors.select("invoice_id", "reconstruction_error"), {"reconstruction_error": 6})
+
+
 def _zscored(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     """Every invoice with the size of its z-score as the error that a detector would give."""
     mart = jobs.feature_mart(invoices, vendors)
@@ -314,6 +373,10 @@ def rule_queries() -> dict[str, Query]:
         "vendor_outlier_factors": _both(
             lambda i, v: rounded(lof.outlier_factors(_vendor_neighbors(i, v)), {"anomaly_score": 6})
         ),
+        "saved_predictions": _both(_saved_predictions),
+        "saved_evaluation": _both(_saved_evaluation),
+        "saved_threshold": _both(_saved_threshold),
+        "mart_after_append": _both(_mart_after_append),
         "null_profile": _both(lambda i, v: quality.null_profile(jobs.feature_mart(i, v))),
         "line_items": _invoices(quality.line_items),
     }
@@ -394,6 +457,8 @@ def model_queries() -> dict[str, Query]:
         "encoded_numeric": _both(_encoded_numeric),
         "scored_with_saved_encoder": _both(_encoded_again),
         "encoded_onehot": _both(_encoded_onehot),
+        "saved_matrix": _both(_saved_matrix),
+        "reconstruction_fixed": _both(_fixed_reconstruction),
         "iforest_predictions": _detector(jobs.isolation_forest),
         "iforest_top": _detector(jobs.isolation_forest, iforest.most_suspicious),
         "iforest_summary": _detector(jobs.isolation_forest, iforest.prediction_summary),

@@ -142,6 +142,11 @@ def save_autoencoder_results(data: Prepared, folder: str) -> None:
     rows, model = trained_autoencoder(data)
     predicted, limit = autoencoder.predictions(rows, model)
     spark = rows.sparkSession
-    files.write_table(predicted, f"{folder}/autoencoder_predictions")
-    files.write_table(spark.createDataFrame([(limit,)], "threshold double"), f"{folder}/threshold")
+    save_threshold(predicted, limit, folder)
     files.write_table(model.history(spark), f"{folder}/training_history")
+
+
+def save_threshold(predicted: DataFrame, limit: float, folder: str) -> None:
+    """Predictions with their errors, and the threshold that labelled them."""
+    files.write_table(predicted, f"{folder}/autoencoder_predictions")
+    files.write_table(predicted.sparkSession.createDataFrame([(limit,)], "threshold double"), f"{folder}/threshold")
