@@ -23,6 +23,7 @@ from vouchwell.operators import (
     sweep,
     threshold,
     vote,
+    wide_autoencoder,
 )
 from vouchwell.sources import files
 from vouchwell.storage import materialize
@@ -137,6 +138,15 @@ def autoencoder_predictions(data: Prepared) -> tuple[DataFrame, float]:
     return autoencoder.predictions(rows, model)
 
 
+def wide_autoencoder_predictions(data: Prepared, epochs: int = autoencoder.EPOCHS) -> tuple[DataFrame, float]:
+    """As ``autoencoder_predictions``, for any number of categories."""
+    shards = wide_autoencoder.packed(wide_autoencoder.keyed(data.encoded, data.encoder))
+    model = wide_autoencoder.train(shards, len(data.encoder.numeric), epochs)
+    about = data.encoded.select(*encode.METADATA_COLUMNS, F.col("invoice_amount").alias("amount"))
+    scored = about.join(wide_autoencoder.errors(shards, model), "invoice_id")
+    return autoencoder.labelled_errors(materialize(scored, "reconstruction_errors"))
+
+
 def save_autoencoder_results(data: Prepared, folder: str) -> None:
     """Predictions with their errors, the threshold, and the training history."""
     rows, model = trained_autoencoder(data)
