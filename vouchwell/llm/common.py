@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from typing import Any
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 PIECE_CHARS = 2_000_000
 BATCH_ROWS = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,13 +34,12 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 
     Spark bounds a batch by rows alone, so long rows need fewer for the same memory.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(BATCH_SETTING, before)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
@@ -53,6 +54,19 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_CHA
             held += size
         if batch.num_rows > start:
             yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: workers serve one stage after the other, and each would keep its peak."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session moves ``BATCH_ROWS`` rows at a time to Python, whoever runs what it plans."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def per_worker(name: str, make: Callable[[], Any]) -> Any:

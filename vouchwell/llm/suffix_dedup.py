@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vouchwell.llm.common import PIECE_CHARS, slices, text_of
+from vouchwell.llm.common import BATCH_ROWS, PIECE_CHARS, batches_of, slices, text_of
 from vouchwell.llm.suffix_sort import deep_shallow
 from vouchwell.storage import broadcast_if_small, materialize
 
@@ -162,7 +162,8 @@ def _all_anchors(rows: DataFrame, length: int, gram: int, words: bool) -> DataFr
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.concatenate(c)) for c in zip(*found, strict=True))], names)
 
     text = rows.select(F.col("__key").alias("key"), F.col("__print").alias("print"), F.col("__text").alias("text"))
-    return materialize(text.mapInArrow(find, ", ".join(f"{c} long" for c in names)), "anchors")
+    with batches_of(rows.sparkSession, BATCH_ROWS):
+        return materialize(text.mapInArrow(find, ", ".join(f"{c} long" for c in names)), "anchors")
 
 
 def repeated_windows(runs: list[bytes], heads: list[int], length: int, unit: int = 1) -> list[list[tuple[int, int]]]:
@@ -242,7 +243,8 @@ def _run_texts(rows: DataFrame, wanted: DataFrame, length: int, words: bool) ->
             yield pa.RecordBatch.from_pylist(out, schema=types)
 
     types = pa.schema([(c, pa.int64()) for c in ("key", "print", *held)] + [("text", pa.binary())])
-    return materialize(joined.mapInArrow(cut, ", ".join(f"{c} long" for c in ("key", "print", *held)) + ", text binary"), "run_texts")
+    with batches_of(rows.sparkSession, BATCH_ROWS):
+        return materialize(joined.mapInArrow(cut, ", ".join(f"{c} long" for c in ("key", "print", *held)) + ", text binary"), "run_texts")
 
 
 def _sorted_groups(texts: DataFrame, length: int, words: bool) -> DataFrame:

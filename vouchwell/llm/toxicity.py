@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchwell.llm import ngram_lm
-from vouchwell.llm.common import BATCH_ROWS, PIECE_CHARS, batches_of, slices, text_of
+from vouchwell.llm.common import PIECE_CHARS, slices, text_of
 from vouchwell.llm.wordcache import coded
 from vouchwell.storage import broadcast_if_small, materialize
 
@@ -187,7 +187,5 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_c
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not rejected, with all their columns; written here, in batches that long texts do not swell."""
-    scored = score(docs, labels, into=_SCORE).where(F.col(_SCORE) < threshold).select(*docs.columns)
-    with batches_of(docs.sparkSession, BATCH_ROWS):
-        return materialize(scored, "ordinary")
+    """The documents that are not rejected, with all their columns."""
+    return score(docs, labels, into=_SCORE).where(F.col(_SCORE) < threshold).select(*docs.columns)
