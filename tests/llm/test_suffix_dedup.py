@@ -94,6 +94,15 @@ def brute_words(text, texts, length):
     return kept + text[at:]
 
 
+def words_kept(text, texts, length):
+    """Words outside all stretches of ``length`` words that occur again."""
+    split = lambda t: re.findall(r"[\u3000-\u9fff]|[^ \t-\r\u3000-\u9fff]+", t)
+    count = Counter(tuple(own[k : k + length]) for own in map(split, texts) for k in range(len(own) - length + 1))
+    own = split(text)
+    gone = {k + j for k in range(len(own) - length + 1) if count[tuple(own[k : k + length])] > 1 for j in range(length)}
+    return len(own) - len(gone)
+
+
 @pytest.mark.parametrize(("most_runs", "pairwise", "piece_bits"), [(4096, 64, 20), (1, 64, 20), (4096, 0, 9)])
 def test_removed_words_match_brute_force(documents, rows, monkeypatch, most_runs, pairwise, piece_bits):
     monkeypatch.setattr(suffix_dedup, "PAIRWISE", pairwise)
@@ -108,5 +117,20 @@ def test_removed_words_match_brute_force(documents, rows, monkeypatch, most_runs
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found)
 
 
+def test_passage_columns_match_brute_force(documents, rows):
+    """Words are counted beside the bytes, which stay as they are without them."""
+    docs = [r for r in rows if r[0] not in (106, 107)] + [(204, "ab " * 300), (203, "\n".join(rows[4][1].split(" ")))]
+    plain = suffix_dedup.measure(documents(docs), length=80, gram=20)
+    found = suffix_dedup.measure(documents(docs), length=80, gram=20, passage=12, passage_gram=4)
+    assert found.columns == [*plain.columns, "repeated_words", "has_passage"]
+    assert sorted(map(tuple, found.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    texts = [t or "" for _, t in docs]
+    words = lambda t: len(re.findall(r"[\u3000-\u9fff]|[^ \t-\r\u3000-\u9fff]+", t))
+    gone = [(i, words(t or "") - words_kept(t or "", texts, 12)) for i, t in docs]
+    expected = [(i, n, n > 0) for i, n in gone]
+    assert sorted(map(tuple, found.select("doc_id", "repeated_words", "has_passage").collect()), key=str) == sorted(expected, key=str)
+
+
 def test_empty_table(documents):
+    assert suffix_dedup.measure(documents([]), passage=51).count() == 0
     assert suffix_dedup.measure(documents([])).count() == 0 and suffix_dedup.remove(documents([])).count() == 0

@@ -35,6 +35,10 @@ URL_RULES = [
 ]
 
 
+#: Passages of over 50 words.
+PASSAGE_WORDS = 51
+
+
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -66,7 +70,7 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.measure(table(spark, folder, "documents"), length=400)
+    return suffix_dedup.measure(table(spark, folder, "documents"), length=400, passage=PASSAGE_WORDS)
 
 
 def neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +183,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> lead THEN lead END AS refers_to
         FROM p
     """,
-    "op8_suffix_dedup": """
+    "op8_suffix_dedup": r"""
         WITH t AS (
             SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
         places AS (
@@ -198,9 +202,21 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
                    string_agg(substr(x, 2 * before + 1, 2 * (a - before)) || CASE WHEN final THEN substr(x, 2 * b + 1) ELSE '' END,
                               '' ORDER BY a) AS kept
-            FROM pieces GROUP BY doc_id)
+            FROM pieces GROUP BY doc_id),
+        word_lists AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''),
+                   '[\x{3000}-\x{9fff}]|[^\x20\x09-\x0D\x{3000}-\x{9fff}]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, md5_number(array_to_string(w[i + 1:i + 51], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(len(w) - 50)) AS i FROM word_lists WHERE len(w) >= 51)),
+        repeated AS (
+            SELECT doc_id, i, least(51, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 51)) AS own
+            FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+        passages AS (SELECT doc_id, sum(own)::BIGINT AS repeated_words FROM repeated GROUP BY doc_id)
         SELECT t.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-               sha256(unhex(coalesce(kept, x))) AS kept_sha256
-        FROM t LEFT JOIN cut USING (doc_id)
+               sha256(unhex(coalesce(kept, x))) AS kept_sha256, coalesce(repeated_words, 0) AS repeated_words,
+               coalesce(repeated_words, 0) > 0 AS has_passage
+        FROM t LEFT JOIN cut USING (doc_id) LEFT JOIN passages USING (doc_id)
     """,
 }

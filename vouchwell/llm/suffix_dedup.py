@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchwell.llm.common import BATCH_ROWS, PIECE_CHARS, batches_of, slices, text_of
@@ -326,14 +326,30 @@ def repeats(rows: DataFrame, length: int, gram: int, most_runs: int, words: bool
     return out
 
 
+def _ranges(rows: DataFrame, length: int, gram: int, most_runs: int, words: bool) -> DataFrame:
+    """(__key, __print, __ranges) of the texts that repeat something, written."""
+    ranges = repeats(rows, length, gram, most_runs, words).groupBy("key", "print").agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__ranges")
+    )
+    return materialize(ranges.withColumnsRenamed({"key": "__key", "print": "__print"}), "ranges")
+
+
+def _covered(ranges: str) -> Column:
+    """How many places sorted ranges cover."""
+    start = F.struct(F.lit(-1).cast("long").alias("end"), F.lit(0).cast("long").alias("total"))
+
+    def add(seen: Column, r: Column) -> Column:
+        new = F.greatest(r["end"] - F.greatest(r["start"], seen["end"]), F.lit(0))
+        return F.struct(F.greatest(r["end"], seen["end"]).alias("end"), (seen["total"] + new).alias("total"))
+
+    return F.aggregate(ranges, start, add, lambda seen: seen["total"])
+
+
 def _with_ranges(
     docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, most_runs: int, words: bool = False
 ) -> DataFrame:
     rows = _keyed(docs, id_col, text_col)
-    ranges = repeats(rows, length, gram, most_runs, words).groupBy("key", "print").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__ranges")
-    )
-    ranges = materialize(ranges.withColumnsRenamed({"key": "__key", "print": "__print"}), "ranges")
+    ranges = _ranges(rows, length, gram, most_runs, words)
     keys = ["__key", "__print"]
     untouched = _among(rows, ranges, keys, "left_anti").withColumn("__ranges", F.lit(None).cast(ranges.schema["__ranges"].dataType))
     return _among(rows, ranges, keys).join(ranges, keys).unionByName(untouched)
@@ -358,27 +374,48 @@ def _kept(text: bytes, ranges: list[dict] | None, words: bool = False) -> tuple[
 
 
 def measure(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, most_runs: int = MOST_RUNS
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    gram: int = GRAM,
+    most_runs: int = MOST_RUNS,
+    passage: int | None = None,
+    passage_gram: int = 13,
 ) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
+    """id, n_bytes, n_removed, n_spans, kept_sha256: one row per document.
+
+    With ``passage`` also repeated_words, how many words lie in stretches of so many that occur
+    again in any spacing, and has_passage, whether there are any; they change no other column.
+    """
     rows = _with_ranges(docs.select(id_col, text_col), id_col, text_col, length, gram, most_runs)
-    rows = rows.select(F.col(id_col).alias("id"), F.col("__text").alias("text"), F.col("__ranges").alias("ranges"))
+    rows = rows.select(F.col(id_col).alias("id"), F.col("__text").alias("text"), F.col("__ranges").alias("ranges"), "__key", "__print")
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PIECE_CHARS):
             out = [(text, *_kept(text, ranges)) for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True)]
             columns = [
-                batch.column("id"),
+                *(batch.column(c) for c in ("id", "__key", "__print")),
                 pa.array([len(x[0]) for x in out], pa.int64()),
                 pa.array([x[2] for x in out], pa.int64()),
                 pa.array([x[3] for x in out], pa.int64()),
                 pa.array([hashlib.sha256(x[1]).hexdigest() for x in out], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    out = rows.mapInArrow(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.withColumnRenamed("id", id_col)
+            names = ["id", "__key", "__print", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    out = rows.mapInArrow(run, f"id {kind}, __key long, __print long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    if passage is not None:
+        texts = _keyed(docs.select(id_col, text_col), id_col, text_col)
+        repeated = _ranges(texts, passage, passage_gram, most_runs, words=True)
+        repeated = repeated.select("__key", "__print", _covered("__ranges").alias("repeated_words"))
+        out = out.join(repeated, ["__key", "__print"], "left")
+        out = out.withColumn("repeated_words", F.coalesce("repeated_words", F.lit(0)))
+        out = out.withColumn("has_passage", F.col("repeated_words") > 0)
+        found += ["repeated_words", "has_passage"]
+    return out.select(F.col("id").alias(id_col), *found)
 
 
 def remove(
