@@ -29,6 +29,10 @@ HEADLINE = [
     "encoded_onehot",
     "score_labels",
     "iforest_predictions",
+    "iforest_sweep",
+    "mart_after_append",
+    "lof_predictions",
+    "wide_autoencoder_predictions",
 ]
 
 
