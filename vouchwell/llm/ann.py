@@ -1,14 +1,17 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
-Every vector is centred, scaled to length one, rotated by one random orthogonal matrix and
-kept as its sign bits beside two scalars: its length and the inner product of the unit
-vector with its own code. A query is rotated too and cut to ``PLANES`` bits a component, so
-that the estimate of an inner product is a few popcounts of packed words. The estimate's error falls with the square root of the number of bits; with
-``BOUND`` of its standard deviations it says which vectors can still be among the nearest.
-Those, and only those, are measured again on the original vectors in double precision.
+Every vector is centred, scaled to length one, turned by a random isometry into
+``BITS_PER_DIM`` times its dimensions and kept as its sign bits beside two scalars: its length
+and the inner product of the unit vector with its own code. A turned query times the signs,
+corrected by the scalars, estimates the inner product. The estimate's error falls with the
+square root of the number of bits; with ``BOUND`` of its standard deviations it says which
+vectors can still be among the nearest. Those, and only those, are measured again on the
+original vectors in double precision. Every query starts from the k-th best of at most
+``SAMPLE_ROWS`` vectors, measured exactly, and in every cell the best by estimate are measured
+first, so that the bounds leave few others.
 
 The centre is the mean of at most ``CENTRE_ROWS`` vectors by hash; every vector is indexed.
-Queries meet all vectors in cells of at most ``CELL_ROWS`` vectors by ``CELL_QUERIES`` queries.
+Queries meet all vectors in cells of at most about ``CELL_ROWS`` vectors by ``CELL_QUERIES`` queries.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without an id; only vectors of the query's own number of components
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +34,13 @@ from vouchwell.storage import materialize
 
 CENTRE_ROWS = 10_000
 CELL_ROWS, CELL_QUERIES = 8_192, 4_096
+MOST_TASKS = 20_000
 CHUNK_ROWS, CHUNK_QUERIES = 2_048, 256
-PLANES = 4
+BITS_PER_DIM = 8
+SAMPLE_ROWS = 8_192
 BOUND = 3.5
+#: Rounding of single-precision estimates, against the lengths of both vectors.
+ROUNDING = 1e-5
 SEED = 20_240
 
 
@@ -42,8 +50,8 @@ def _valid(vector: Column) -> Column:
 
 
 def rotation(dims: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, padded to whole 64-bit words: dims x width."""
-    width = -(-dims // 64) * 64
+    """Rows of a random orthogonal matrix: dims x width, the width in whole 64-bit words."""
+    width = -(-dims * BITS_PER_DIM // 64) * 64
     q, r = np.linalg.qr(np.random.default_rng(seed + dims).standard_normal((width, width)))
     return (q * np.sign(np.diag(r)))[:dims]
 
@@ -101,59 +109,84 @@ def _matrix(table: pa.Table, column: str, dtype: type) -> np.ndarray:
     return flat.astype(dtype, copy=False).reshape(table.num_rows, -1)
 
 
+def _signs(code: np.ndarray) -> np.ndarray:
+    """The codes as +1 and -1, a column per bit."""
+    return np.unpackbits(np.ascontiguousarray(code).view(np.uint8), axis=1, bitorder="little").astype(np.float32) * 2 - 1
+
+
 def nearest_in_cell(
     ids: np.ndarray, x: np.ndarray, code: np.ndarray, length: np.ndarray, own: np.ndarray,
-    query_ids: np.ndarray, q: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of the k nearest of one cell, measured on the original vectors."""
+    query_ids: np.ndarray, q: np.ndarray, least: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query row, id, score) of the k nearest of one cell, and how many pairs were measured on the original vectors.
+
+    ``least`` is a score that k vectors of each query are known to reach.
+    """
     width = turn.shape[1]
     spread = np.sqrt(np.maximum(1 - own**2, 0)) / own / np.sqrt(max(width - 1, 1)) * length
-    scale, ones = length / own / np.sqrt(width), np.bitwise_count(code).sum(axis=1).astype(float)
-    best_q, best_id, best_s = [], [], []
-    for a in range(0, len(q), CHUNK_QUERIES):
-        part = q[a : a + CHUNK_QUERIES]
-        n = len(part)
-        turned = part @ turn
-        low = turned.min(axis=1)
-        step = np.maximum((turned.max(axis=1) - low) / (2**PLANES - 1), 1e-300)
-        cut = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
-        planes = [_packed((cut >> j) & 1) for j in range(PLANES)]
-        total, norm, central = turned.sum(axis=1), np.sqrt(np.einsum("ij,ij->i", part, part)), part @ centre
-        rounding = 2 * step * np.sqrt(width / 12)
-        held_q, held_id, held_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        kth = np.full(n, -np.inf)
-        for b in range(0, len(x), CHUNK_ROWS):
-            rows = slice(b, b + CHUNK_ROWS)
-            match = np.zeros((n, len(ids[rows])), np.int32)
-            for j, plane in enumerate(planes):
-                for word in range(code.shape[1]):
-                    match += np.bitwise_count(plane[:, word][:, None] & code[rows, word][None, :]).astype(np.int32) << j
-            signed = 2 * (low[:, None] * ones[rows] + step[:, None] * match) - total[:, None]
-            guess = signed * scale[rows] + central[:, None]
-            error = BOUND * (norm[:, None] * spread[rows] + rounding[:, None] * scale[rows])
-            foreign = query_ids[a : a + n, None] != ids[rows][None, :]
-            lower = np.where(foreign, guess - error, -np.inf)
-            if lower.shape[1] > k:
-                kth = np.maximum(kth, np.partition(lower, -k, axis=1)[:, -k])
-            who, which = np.nonzero(foreign & (guess + error >= kth[:, None]))
+    scale = length / own / np.sqrt(width)
+    turned, norm, central = (q @ turn).astype(np.float32), np.sqrt(np.einsum("ij,ij->i", q, q)), q @ centre
+    kth, measured = least.copy(), 0
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    for b in range(0, len(x), CHUNK_ROWS):
+        rows = slice(b, b + CHUNK_ROWS)
+        signs, some_ids = _signs(code[rows]), ids[rows]
+        new: list[tuple] = []
+        for a in range(0, len(q), CHUNK_QUERIES):
+            part = slice(a, a + CHUNK_QUERIES)
+            guess = (turned[part] @ signs.T) * scale[rows].astype(np.float32) + central[part, None].astype(np.float32)
+            error = norm[part, None] * (BOUND * spread[rows] + ROUNDING * (length[rows] + np.sqrt(centre @ centre)))
+            foreign = query_ids[part, None] != some_ids[None, :]
+            guess = np.where(foreign, guess, -np.inf)
+            limit = kth[part]
+            if guess.shape[1] > k:  # the best by estimate say how good a score must be
+                likely = np.argpartition(guess, -k, axis=1)[:, -k:]
+                exact = np.einsum("ikj,ij->ik", x[rows][likely], q[part])
+                fits = np.take_along_axis(foreign, likely, 1).all(axis=1)
+                limit = np.where(fits, np.maximum(limit, exact.min(axis=1)), limit)
+            who, which = np.nonzero(foreign & (guess + error >= limit[:, None]))
             score = np.empty(len(who))
             for c in range(0, len(who), 65_536):
                 some = slice(c, c + 65_536)
-                score[some] = np.einsum("ij,ij->i", x[rows][which[some]], part[who[some]])
-            held_q = np.concatenate([held_q, who])
-            held_id = np.concatenate([held_id, ids[rows][which]])
-            held_s = np.concatenate([held_s, score])
-            order = np.lexsort((held_id, -held_s, held_q))
-            held_q, held_id, held_s = held_q[order], held_id[order], held_s[order]
-            starts = np.searchsorted(held_q, np.arange(n))
-            rank = np.arange(len(held_q)) - starts[held_q]
-            full = rank == k - 1
-            kth[held_q[full]] = np.maximum(kth[held_q[full]], held_s[full])
-            held_q, held_id, held_s = held_q[rank < k], held_id[rank < k], held_s[rank < k]
-        best_q.append(held_q + a)
-        best_id.append(held_id)
-        best_s.append(held_s)
-    return np.concatenate(best_q), np.concatenate(best_id), np.concatenate(best_s)
+                score[some] = np.einsum("ij,ij->i", x[rows][which[some]], q[part][who[some]])
+            measured += len(who)
+            new.append((who + a, some_ids[which], score))
+        held = tuple(np.concatenate(parts) for parts in zip(held, *new, strict=True))
+        order = np.lexsort((held[1], -held[2], held[0]))
+        who, found, score = (part[order] for part in held)
+        rank = np.arange(len(who)) - np.searchsorted(who, np.arange(len(q)))[who]
+        full = rank == k - 1
+        kth[who[full]] = np.maximum(kth[who[full]], score[full])
+        held = (who[rank < k], found[rank < k], score[rank < k])
+    return *held, measured
+
+
+def _least_scores(asked: DataFrame, index: DataFrame, n: int, k: int) -> DataFrame:
+    """``asked`` with the k-th best score among a bounded sample of the index, which all vectors' k-th best reaches."""
+    share = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / max(n, 1)) * (1 << 30))
+    held = index.where(share).select("id", "dims", "vector").toArrow()
+    sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for dims in pc.unique(held.column("dims")).to_pylist():
+        own = held.filter(pc.equal(held.column("dims"), dims))
+        sample[dims] = (own.column("id").to_numpy(), _matrix(own, "vector", np.float64))
+    shared = asked.sparkSession.sparkContext.broadcast(sample)
+
+    def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = np.full(batch.num_rows, -np.inf)
+            dims, query = batch.column("dims").to_numpy(), batch.column("query_id").to_numpy()
+            for size, (ids, x) in shared.value.items():
+                mine = np.flatnonzero(dims == size)
+                for a in range(0, len(mine) if len(ids) > k else 0, CHUNK_QUERIES):
+                    part = mine[a : a + CHUNK_QUERIES]
+                    q = batch.column("vector").take(pa.array(part)).flatten().to_numpy().reshape(-1, size)
+                    scores = np.where(query[part, None] != ids[None, :], q @ x.T, -np.inf)
+                    least[part] = np.partition(scores, -k, axis=1)[:, -k]
+            # The product above and single sums may differ in the last digits.
+            least -= 1e-9 * np.abs(np.where(np.isfinite(least), least, 0.0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least)], names=[*batch.schema.names, "least"])
+
+    return asked.mapInArrow(seed, "query_id long, dims int, vector array<double>, least double")
 
 
 def search(index: DataFrame, is_query: Column, k: int) -> DataFrame:
@@ -161,7 +194,9 @@ def search(index: DataFrame, is_query: Column, k: int) -> DataFrame:
     spark = index.sparkSession
     asked = index.where(is_query).groupBy("id", "dims").agg(F.min("vector").alias("vector"))
     asked = asked.groupBy("id").agg(F.min(F.struct("dims", "vector")).alias("q")).select(F.col("id").alias("query_id"), "q.*")
-    n, m = index.count(), asked.count()
+    n = index.count()
+    asked = materialize(_least_scores(asked, index, n, k), "queries")
+    m = asked.count()
     wide, high = max(1, -(-n // CELL_ROWS)), max(1, -(-m // CELL_QUERIES))
     centres = spark.sparkContext.broadcast(_centres(index))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
@@ -173,14 +208,16 @@ def search(index: DataFrame, is_query: Column, k: int) -> DataFrame:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         x, q = _matrix(vectors, "vector", np.float64), _matrix(queries, "vector", np.float64)
         dims = x.shape[1]
-        who, found, score = nearest_in_cell(
+        who, found, score, _ = nearest_in_cell(
             vectors.column("id").to_numpy(), x, _matrix(vectors, "code", np.int64).view(np.uint64),
             vectors.column("length").to_numpy(), vectors.column("own").to_numpy(),
-            queries.column("query_id").to_numpy(), q, centres.value.get(dims, np.zeros(dims)), rotation(dims), k,
+            queries.column("query_id").to_numpy(), q, queries.column("least").to_numpy(), centres.value.get(dims, np.zeros(dims)), rotation(dims), k,
         )
         return pa.table({"query_id": queries.column("query_id").to_numpy()[who], "vec_id": found, "score": score})
 
     keys = ["dims", "row", "column"]
+    tasks = min(wide * high, MOST_TASKS)  # a number of their own, or few heavy cells would share a task
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
