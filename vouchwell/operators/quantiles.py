@@ -2,7 +2,8 @@
 
 The built-in exact ``percentile`` keeps every distinct value in one task. Here a
 mergeable sketch brackets each quantile first, again and again until few values are left
-inside; those are then counted, and the two order statistics are read off exact counts.
+inside; those are then counted on the executors, where running counts pick the two order
+statistics. Two values a target travel, whatever the columns hold.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 1000
@@ -27,16 +29,13 @@ def exact_quantiles(
     found: dict[tuple[str, float], float | None] = {t: None for t in targets if t not in ranks}
     open_targets = [t for t in targets if t in ranks]
     while open_targets:
-        inside = _counts_inside(values, open_targets, brackets)
-        rows = inside.limit(max_values + 1).collect()
-        if len(rows) > max_values:
-            brackets = _narrower(values, open_targets, brackets, ranks)
-            continue
-        below = values.agg(*[F.count_if(F.col(t[0]) < brackets[t][0]) for t in open_targets]).first()
-        for k, target in enumerate(open_targets):
-            sorted_values = sorted((r["value"], r["n"]) for r in rows if r["target"] == k)
-            found[target] = _interpolated(sorted_values, below[k], ranks[target])
-        open_targets = []
+        sizes = _sizes(values, open_targets, brackets)
+        small = [t for t in open_targets if min(sizes[t]["inside"], sizes[t]["kinds"]) <= max_values]
+        if small:
+            found |= _picked(values, small, brackets, sizes, ranks)
+        open_targets = [t for t in open_targets if t not in small]
+        if open_targets:
+            brackets |= _narrower(values, open_targets, brackets, sizes, ranks)
     return found
 
 
@@ -77,34 +76,47 @@ def _counts_inside(values: DataFrame, targets: list, brackets: dict) -> DataFram
     )
 
 
-def _narrower(values: DataFrame, targets: list, brackets: dict, ranks: dict) -> dict:
+def _sizes(values: DataFrame, targets: list, brackets: dict) -> dict:
+    """Per target: rows below its bracket, rows inside, and about how many values they have."""
+    parts = []
+    for k, t in enumerate(targets):
+        inside = F.when(F.col(t[0]).between(*brackets[t]), F.col(t[0]))
+        below = F.count_if(F.col(t[0]) < brackets[t][0])
+        parts.append(F.struct(below.alias("below"), F.count(inside).alias("inside"), F.approx_count_distinct(inside).alias("kinds")).alias(str(k)))
+    row = values.agg(*parts).first()
+    return {t: row[k] for k, t in enumerate(targets)}
+
+
+def _narrower(values: DataFrame, targets: list, brackets: dict, sizes: dict, ranks: dict) -> dict:
     """Sketch again inside the brackets; each round divides them by about a thousand."""
-    sizes = values.agg(
-        *[
-            F.struct(
-                F.count_if(F.col(t[0]) < brackets[t][0]).alias("below"),
-                F.count_if(F.col(t[0]).between(*brackets[t])).alias("inside"),
-            ).alias(str(k))
-            for k, t in enumerate(targets)
-        ]
-    ).first()
     edges = []
     for k, t in enumerate(targets):
-        n = sizes[k]["inside"]
-        p = (ranks[t] - sizes[k]["below"]) / max(n - 1, 1)
+        n = sizes[t]["inside"]
+        p = (ranks[t] - sizes[t]["below"]) / max(n - 1, 1)
         inside = F.when(F.col(t[0]).between(*brackets[t]), F.col(t[0]))
         edges.append(F.percentile_approx(inside, _edges(p, n), SKETCH_ACCURACY).alias(str(k)))
     row = values.agg(*edges).first()
     return {t: tuple(row[k]) for k, t in enumerate(targets)}
 
 
-def _interpolated(sorted_values: list[tuple[float, int]], below: int, rank: float) -> float:
-    low, high = math.floor(rank), math.ceil(rank)
-    reached, a = below, None
-    for value, n in sorted_values if below <= low else []:
-        reached += n
-        if a is None and low < reached:
-            a = value
-        if a is not None and high < reached:
-            return a + (value - a) * (rank - low)
-    raise ValueError("quantile outside its bracket")
+def _picked(values: DataFrame, targets: list, brackets: dict, sizes: dict, ranks: dict) -> dict:
+    """The quantiles of targets with few values inside their brackets: running counts per target."""
+    low = F.array(*[F.lit(math.floor(ranks[t])).cast("long") for t in targets])
+    high = F.array(*[F.lit(math.ceil(ranks[t])).cast("long") for t in targets])
+    before = F.array(*[F.lit(sizes[t]["below"]).cast("long") for t in targets])
+    upto = F.sum("n").over(W.partitionBy("target").orderBy("value")) + before[F.col("target")]
+    counted = _counts_inside(values, targets, brackets).withColumn("upto", upto)
+
+    def at(rank):
+        place = rank[F.col("target")]
+        return F.max(F.when((F.col("upto") > place) & (F.col("upto") - F.col("n") <= place), F.col("value")))
+
+    rows = counted.groupBy("target").agg(at(low).alias("low"), at(high).alias("high")).collect()  # one row a target
+    ends = {targets[r["target"]]: (r["low"], r["high"]) for r in rows}
+    found = {}
+    for t in targets:
+        a, b = ends.get(t, (None, None))
+        if a is None or b is None:
+            raise ValueError("quantile outside its bracket")
+        found[t] = a + (b - a) * (ranks[t] - math.floor(ranks[t]))
+    return found
