@@ -31,7 +31,6 @@ HEADLINE = [
     "iforest_predictions",
     "iforest_sweep",
     "mart_after_append",
-    "lof_predictions",
     "wide_autoencoder_predictions",
 ]
 
