@@ -199,3 +199,24 @@ def test_wide_categories_and_saved_encoder(spark, tmp_path):
     autoencoder.save_model(spark, model, str(tmp_path / "autoencoder"))
     loaded = autoencoder.load_model(spark, str(tmp_path / "autoencoder"))
     assert loaded.epochs == model.epochs and loaded.network == model.network and (loaded.state == model.state).all()
+
+
+def test_neighbours_read_blocks_without_copies_of_rows(spark, monkeypatch):
+    """Rows are written once for the join, whatever number of pieces looks at them, and ties stay in bounded memory."""
+    rng = np.random.default_rng(7)
+    rows = [(f"I{n:04d}", rng.normal(size=6).tolist(), [n % 3]) for n in range(500)]
+    rows += [(f"T{n:04d}", [0.5] * 6, [1]) for n in range(300)]  # all at distance 0 from each other
+    df = spark.createDataFrame(rows, "invoice_id string, x array<double>, c array<bigint>")
+    monkeypatch.setattr(lof, "_sent", None)  # the routed copies
+    monkeypatch.setattr(lof, "BLOCK_ROWS", 100)
+    found = lof.nearest_neighbors(df, 5, 50, 64).toPandas().sort_values(["invoice_id", "rank"])
+    x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    expected, _ = brute_lof(x, c, np.array([r[0] for r in rows]), 5)
+    assert found.groupby("invoice_id")["neighbor"].agg(list).to_dict() == expected
+    queries = lof._Queries(5)
+    ids = np.array([r[0] for r in rows[500:]], object)
+    queries.add(ids, x[500:], c[500:], np.full(300, 1.0))
+    queries.close()
+    queries.offer(ids, x[500:], c[500:])
+    queries.compact()
+    assert queries.pending == 5 * 300
