@@ -264,3 +264,23 @@ def test_long_descriptions_and_low_cutoffs_finish(make_invoices):
     text = " ".join(f"word{n:03d}" for n in range(25))
     invoices = make_invoices(*[{"description": text}, {"description": text[:-1] + "x"}, {"description": text[::-1]}])
     assert duplicates.duplicate_pairs(invoices).count() == 1
+
+
+def test_flags_move_the_invoices_once(spark, make_invoices, monkeypatch):
+    """One exchange holds the invoices: matches are found where they meet, across stretches of days as well."""
+    monkeypatch.setattr(duplicates, "STRETCH_WINDOWS", 1)
+    start = dt.date(2025, 1, 1)
+    days = [0, 6, 7, 13, 14, 22, 40, 40, 48]
+    invoices = make_invoices(
+        *[{"invoice_date": start + dt.timedelta(d)} for d in days],
+        *[{"invoice_date": start + dt.timedelta(d), "vendor_id": "V2", "amount": a} for d, a in [(0, -1.0), (3, 1.0), (5, None), (6, -2.0)]],
+        {"invoice_date": start, "vendor_id": "V3", "description": None}, {"invoice_date": start, "vendor_id": "V3", "description": None},
+    )
+    pairs = duplicates.duplicate_pairs(invoices).collect()
+    first = {r["invoice_id"] for r in duplicates.duplicate_flags(invoices).collect()}
+    both = duplicates.duplicate_flags(invoices, flag_side="both")
+    assert first == {r["invoice_id"] for r in pairs}
+    assert {r["invoice_id"] for r in both.collect()} == first | {r["matched_invoice"] for r in pairs}
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("hashpartitioning(vendor_id") == 2  # invoices, and days of descriptions with similar ones

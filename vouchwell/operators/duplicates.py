@@ -30,6 +30,8 @@ AMOUNT_TOLERANCE = 1.0
 MIN_SIMILARITY = 90
 HOT_PAIR_ROWS = 30_000
 CLASS_STEP = 1.1
+#: Date windows in a stretch of days: a group of one vendor and description is cut into such stretches.
+STRETCH_WINDOWS = 32
 #: Pairs of texts that may be tried for each text of a vendor without asking which vendors share them.
 PAIRS_PER_TEXT = 16
 
@@ -182,10 +184,11 @@ def _partners(rows: DataFrame, min_similarity: int) -> DataFrame:
     A catalogue of texts that vendors share is scored once for all of them, where all pairs of
     its texts are few against what the vendors use; so neither way tries more than it has to.
     """
-    own_texts = materialize(rows.select("vendor_id", "text").distinct(), "vendor_texts")
-    texts = materialize(own_texts.select("text").distinct(), "texts")
-    if texts.count() ** 2 <= PAIRS_PER_TEXT * own_texts.count():
+    texts = materialize(rows.select("text").distinct(), "texts")
+    used = rows.agg(F.approx_count_distinct(F.struct("vendor_id", "text"))).first()[0]  # only chooses the way
+    if texts.count() ** 2 <= PAIRS_PER_TEXT * used:
         return materialize(similar_texts(texts, min_similarity, hot_rows=None), "similar_texts")
+    own_texts = materialize(rows.select("vendor_id", "text").distinct(), "vendor_texts")
     return materialize(similar_texts(own_texts, min_similarity, ("vendor_id",)), "similar_texts")
 
 
@@ -197,12 +200,16 @@ def _with_texts(rows: DataFrame, partners: DataFrame) -> DataFrame:
     return own.unionByName(others.select(*own.columns))
 
 
-def _dated(invoices: DataFrame) -> DataFrame:
-    """The five columns the rule reads, written once because several steps read them."""
-    rows = invoices.filter(F.col("invoice_date").isNotNull() & F.col("vendor_id").isNotNull()).select(
+def _dated_rows(invoices: DataFrame) -> DataFrame:
+    """The five columns the rule reads."""
+    return invoices.filter(F.col("invoice_date").isNotNull() & F.col("vendor_id").isNotNull()).select(
         "invoice_id", "vendor_id", "invoice_date", "amount", sorted_words(F.col("description")).alias("text")
     )
-    return materialize(rows, "dated_invoices")
+
+
+def _dated(invoices: DataFrame) -> DataFrame:
+    """As ``_dated_rows``, written once because several steps read them."""
+    return materialize(_dated_rows(invoices), "dated_invoices")
 
 
 def duplicate_pairs(
@@ -314,11 +321,13 @@ def duplicate_flags(
     amount_tolerance: float = AMOUNT_TOLERANCE,
     min_similarity: int = MIN_SIMILARITY,
     flag_side: str = "first",
+    written: bool = False,
 ) -> DataFrame:
     """Distinct invoices with a match: the earlier of a pair, or both sides.
 
     At a tolerance of 1.0 two amounts agree exactly when neither or both are negative,
     so days per (vendor, description, sign) say who has a match and pairs never form.
+    With ``written`` the invoices are a written table, which is read again rather than copied.
     Other tolerances compare amounts one by one through the pair report.
     """
     if flag_side not in ("first", "both"):
@@ -330,37 +339,61 @@ def duplicate_flags(
             ids = ids.union(pairs.select("matched_invoice"))
         return ids.distinct().withColumn("duplicate_flag", F.lit(1))
 
-    amount = F.col("amount")
-    sign = F.when(amount.isNull(), "none").when(amount < 0, "minus").otherwise("plus")
-    rows = _dated(invoices).withColumn("sign", sign)
-    days = rows.groupBy("vendor_id", "text", "sign", "invoice_date").agg(
-        F.min("invoice_id").alias("first_id"), F.max("invoice_id").alias("last_id")
+    rows = _dated_rows(invoices) if written else _dated(invoices)
+    matched = _with_matches(rows, _partners(rows, min_similarity), date_window)
+    flagged = F.col("later") | (F.col("invoice_id") < F.col("last"))
+    if flag_side == "both":
+        flagged = flagged | F.col("sooner") | (F.col("invoice_id") > F.col("first"))
+    return matched.filter(flagged).select("invoice_id", F.lit(1).alias("duplicate_flag")).distinct()
+
+
+def _with_matches(rows: DataFrame, partners: DataFrame, date_window: int) -> DataFrame:
+    """Rows with ``later`` and ``sooner``, whether matching days lie in the window, and the day's ``first`` and ``last`` id.
+
+    Rows meet once, by (vendor, description, stretch of days), together with the days of similar
+    descriptions; both are also listed in a neighbouring stretch that is within the window.
+    """
+    negative = F.when(F.col("amount") < 0, "minus").otherwise("plus")
+    sign = F.when(F.col("amount").isNull(), "none").otherwise(negative)
+    rows = rows.filter(F.col("text").isNotNull()).select(
+        "invoice_id", "vendor_id", "text", sign.alias("sign"), F.unix_date("invoice_date").alias("day")
     )
-    # A missing amount agrees with every sign.
-    every = F.array(F.lit("plus"), F.lit("minus"), F.lit("none"))
-    seen_by = F.when(F.col("sign") == "none", every).otherwise(F.array("sign", F.lit("none")))
-    visible = (
-        _with_texts(days, _partners(rows, min_similarity))
-        .withColumn("sign", F.explode(seen_by))
-        .groupBy("vendor_id", F.col("other_text").alias("text"), "sign", "invoice_date")
-        .agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
+    keys = [c for c in partners.columns if c in ("vendor_id", "text")]
+    partners = broadcast_if_small(partners.select(*keys, "other_text"))
+    days = rows.join(_shared_texts(partners, keys), keys, "left_semi")
+    days = days.groupBy("vendor_id", "text", "sign", "day").agg(
+        F.min("invoice_id").alias("first_id"), F.max("invoice_id").alias("last_id")
     )
-    by_day = W.partitionBy("vendor_id", "text", "sign").orderBy("invoice_date")
-    later = F.datediff(F.lead("invoice_date").over(by_day), "invoice_date") <= date_window
-    sooner = F.datediff("invoice_date", F.lag("invoice_date").over(by_day)) <= date_window
-    matches = visible.withColumns(
-        {"later": F.coalesce(later, F.lit(False)), "sooner": F.coalesce(sooner, F.lit(False))}
-    ).filter(F.col("later") | F.col("sooner") | (F.col("first_id") != F.col("last_id")))
-    flagged = F.col("later") | (F.col("invoice_id") < F.col("last_id"))
-    if flag_side == "both":
-        flagged = flagged | F.col("sooner") | (F.col("invoice_id") > F.col("first_id"))
-    return (
-        rows.select("invoice_id", "vendor_id", "text", "sign", "invoice_date")
-        .join(matches, ["vendor_id", "text", "sign", "invoice_date"])
-        .filter(flagged)
-        .select("invoice_id", F.lit(1).alias("duplicate_flag"))
-        .distinct()
+    similar = days.join(partners, keys).select(
+        F.lit(None).cast("string").alias("invoice_id"), "vendor_id", F.col("other_text").alias("text"), "sign", "day", "first_id", "last_id"
     )
+    ids = {"first_id": F.col("invoice_id"), "last_id": F.col("invoice_id")}
+    span = max(date_window, 1) * STRETCH_WINDOWS
+    home = F.floor(F.col("day") / span).cast("int")
+    near = F.array_distinct(F.transform(F.array(F.lit(-date_window), F.lit(0), F.lit(date_window)), lambda d: F.floor((F.col("day") + d) / span).cast("int")))
+    placed = rows.unionByName(similar, allowMissingColumns=True).withColumn("stretch", F.explode(near))
+    # Named, so that what the windows need is computed behind the exchange and does not travel.
+    placed = placed.repartition("vendor_id", "text", "stretch")
+    placed = placed.withColumns({c: F.coalesce(c, own_id) for c, own_id in ids.items()} | {"home": home})
+    group = W.partitionBy("vendor_id", "text", "stretch").orderBy("day")
+    frames = {"later": group.rangeBetween(1, date_window), "sooner": group.rangeBetween(-date_window, -1)}
+    same_day = group.rangeBetween(0, 0)
+
+    def of_sign(fold, value, frame) -> Column:
+        """The fold over rows whose sign agrees with this row's; a missing amount agrees with every sign."""
+        plus, minus, none = (fold(F.when(F.col("sign") == s, value)).over(frame) for s in ("plus", "minus", "none"))
+        combine = F.least if fold is F.min else F.greatest
+        own_sign = F.col("sign")
+        return F.when(own_sign == "plus", combine(plus, none)).when(own_sign == "minus", combine(minus, none)).otherwise(combine(plus, minus, none))
+
+    found = {name: F.coalesce(of_sign(F.max, F.lit(True), frame), F.lit(False)) for name, frame in frames.items()}
+    found |= {"first": of_sign(F.min, F.col("first_id"), same_day), "last": of_sign(F.max, F.col("last_id"), same_day)}
+    return placed.withColumns(found).filter(F.col("invoice_id").isNotNull() & (F.col("stretch") == F.col("home")))
+
+
+def _shared_texts(partners: DataFrame, keys: list[str]) -> DataFrame:
+    """The texts that have similar ones."""
+    return partners.select(*keys).distinct()
 
 
 def first_pairs(pairs: DataFrame, n: int = 5) -> DataFrame:
