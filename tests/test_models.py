@@ -220,3 +220,28 @@ def test_neighbours_read_blocks_without_copies_of_rows(spark, monkeypatch):
     queries.offer(ids, x[500:], c[500:])
     queries.compact()
     assert queries.pending == 5 * 300
+
+
+def test_errors_and_steps_make_no_dense_outputs():
+    """Errors over 200,000 one-hot columns equal the dense ones; a batch of them stays narrow."""
+    rng = np.random.default_rng(3)
+    numbers, hot = rng.normal(size=(300, 2)), [np.array([2 + n % 5, 7 + n % 190_000]) for n in range(300)]
+    hot[4] = np.zeros(0, int)  # a row without known categories
+    small = autoencoder.Network(400)
+    state = small.initial(1)
+    state[-small.n_weights() * 2 - 1 - 128 - 400 : -small.n_weights() * 2 - 1 - 128] += 0.01
+    rows = autoencoder._Rows(numbers, [h % 398 + 2 for h in hot], 400)
+    found = np.concatenate([small.errors(state, part, small.output_gram(state)) for part in rows.batches()])
+    x = np.zeros((300, 400))
+    x[:, :2] = numbers
+    for n, h in enumerate(rows.hot):
+        x[n, h.astype(int)] = 1.0
+    assert found == pytest.approx(((small.reconstruct(state, x) - x) ** 2).mean(1), rel=1e-9)
+    dense, sparse = state.copy(), state.copy()
+    losses = [small.step(s, b, np.random.default_rng(9)) for s, b in [(dense, x[:128]), (sparse, next(rows.batches()))]]
+    # A dense batch is one whose columns are all numbers.
+    assert losses[0] == pytest.approx(losses[1], rel=1e-9) and sparse == pytest.approx(dense, abs=1e-9)
+    wide = autoencoder.Network(200_000)
+    part = next(autoencoder._Rows(numbers, hot, 200_000).batches())
+    assert part.numbers.shape == (128, 2) and len(part.column) == 2 * 127
+    assert len(wide.errors(wide.initial(1), part, np.zeros((65, 65)))) == 128
