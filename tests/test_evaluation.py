@@ -115,3 +115,17 @@ def test_line_items_and_null_profile(make_invoices):
     assert quality.line_items(invoices).schema.names == schemas.LINE_ITEMS.names
     top = quality.null_profile(invoices, 2).collect()
     assert [(r["column_name"], r["missing"]) for r in top] == [("discount", 2), ("description", 1)]
+
+
+def test_profile_reads_its_source_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS amount").mapInArrow(counted, "amount double")
+    row = quality.numeric_profile(df).first()
+    assert (row["count"], row["p25"], row["p50"], row["max"]) == (1000, 249.75, 499.5, 999.0)
+    assert reads.value == 1000

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vouchwell.operators.quantiles import exact_quantiles
+from vouchwell.storage import materialize
 
 CURRENCY = "INR"
 
@@ -40,7 +41,11 @@ def dq_report(invoices: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, column: str = "amount") -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles."""
+    """Count, mean, sample deviation, extremes and exact quartiles.
+
+    The column is written first: quantiles read it several times, the source is read once.
+    """
+    df = materialize(df.select(column), "profiled_column")
     quartile = exact_quantiles(df, [column], [0.25, 0.5, 0.75])
     c = F.col(column)
     return df.agg(
