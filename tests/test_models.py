@@ -245,3 +245,27 @@ def test_errors_and_steps_make_no_dense_outputs():
     part = next(autoencoder._Rows(numbers, hot, 200_000).batches())
     assert part.numbers.shape == (128, 2) and len(part.column) == 2 * 127
     assert len(wide.errors(wide.initial(1), part, np.zeros((65, 65)))) == 128
+
+
+def test_steps_hold_no_whole_gradient_and_single_precision_follows_double():
+    work = autoencoder._Work(autoencoder.Network(200_000))
+    held = sum(a.size for a in [*work.gradient, work.outer, *work.spare] if a is not None)
+    assert held < 1_000_000  # 25,800,000 weights
+    rng = np.random.default_rng(5)
+    net = autoencoder.Network(5_000)
+    parts = list(autoencoder._Rows(rng.normal(size=(512, 3)), [np.array([3 + n % 7, 10 + n]) for n in range(512)], 5_000).batches())
+    double = net.initial(2)
+    single = double.astype(np.float32)
+    losses = [[net.step(s, b, np.random.default_rng(k)) for k, b in enumerate(parts)] for s in (double, single)]
+    assert single.dtype == np.float32 and losses[1] == pytest.approx(losses[0], rel=1e-4)
+    n = net.n_weights()
+    assert np.abs(single[:n] - double[:n]).mean() < 1e-5
+
+
+def test_training_files_hold_equal_shares_of_shards(spark):
+    rows = spark.range(6_400).select(
+        (F.col("id") * 100).alias("draw"), F.lit(False).alias("validation"), F.array(F.lit(0.0)).alias("numbers"), F.array(F.lit(1)).alias("hot")
+    )
+    files = autoencoder.sharded(rows, shard_rows=100).groupBy(F.input_file_name()).agg(F.count_distinct("shard").alias("n"))
+    sizes = sorted(r["n"] for r in files.collect())
+    assert sum(sizes) == 64 and len(sizes) == 4 and sizes[-1] <= 20
