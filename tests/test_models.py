@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from vouchwell.operators import autoencoder, encode, iforest, lof
 from vouchwell.operators.quantiles import exact_quantiles
+from vouchwell.plans import jobs
 
 COLUMNS = "amount double, quantity_sold double, constant double, payment_method string, currency string"
 
@@ -269,3 +270,59 @@ def test_training_files_hold_equal_shares_of_shards(spark):
     files = autoencoder.sharded(rows, shard_rows=100).groupBy(F.input_file_name()).agg(F.count_distinct("shard").alias("n"))
     sizes = sorted(r["n"] for r in files.collect())
     assert sum(sizes) == 64 and len(sizes) == 4 and sizes[-1] <= 20
+
+
+def random_forest(rng, n_numeric, n_categorical, trees, levels):
+    """Node arrays as ``Forest.arrays`` lays them out: tree after tree, by node number."""
+    rows = []
+    for _ in range(trees):
+        start, numbers = len(rows), [1]
+        for node in numbers:  # grows while it is read
+            if node < 2**levels and rng.random() < 0.8:
+                numbers += [2 * node, 2 * node + 1]
+        place = {node: start + i for i, node in enumerate(sorted(numbers))}
+        for node in sorted(numbers):
+            inner = 2 * node in place
+            f = int(rng.integers(n_numeric + n_categorical)) if inner else -1
+            cut = 0.0 if f < 0 else float(rng.normal()) if f < n_numeric else float(rng.integers(3))
+            own = place[node]
+            rows.append((f, cut, place.get(2 * node, own), place.get(2 * node + 1, own), 0.0 if inner else float(rng.random() * 9), node))
+    columns = [np.array(c) for c in zip(*rows)]
+    return (*columns[:5], np.flatnonzero(columns[5] == 1))
+
+
+def test_forest_walk_equals_a_walk_row_by_row(monkeypatch):
+    monkeypatch.setattr(iforest, "WALK_ROWS", 64)
+    rng = np.random.default_rng(11)
+    arrays = random_forest(rng, 3, 2, 12, 5)
+    x = np.column_stack([rng.normal(size=(150, 3)), rng.integers(-1, 3, (150, 2))])
+    x[0, :3] = np.nan
+    feature, threshold, left, right, length, roots = arrays
+    expected = []
+    for row in x:
+        total, sums = 0.0, []
+        for node in roots:
+            while feature[node] >= 0:
+                f, cut = feature[node], threshold[node]
+                node = left[node] if (row[f] <= cut if f < 3 else row[f] != cut) else right[node]
+            total += length[node]
+            sums.append(total)
+        expected.append([sums[4], sums[-1]])
+    assert iforest.path_totals(x, 3, arrays, [5, 12]).tolist() == expected
+
+
+def test_encoder_statistics_and_narrow_marts(spark, make_invoices, make_vendors):
+    values = [1e9 + n % 7 for n in range(40)] + [None] * 3
+    df = spark.createDataFrame([(f"I{n}", v, 5.0, None) for n, v in enumerate(values)], "invoice_id string, a double, b double, s string")
+    encoder = encode.fit_encoder(df)
+    filled = np.array([encoder.fills["a"] if v is None else v for v in values])
+    assert encoder.means["a"] == pytest.approx(filled.mean(), rel=1e-15) and encoder.scales["a"] == pytest.approx(filled.std(), rel=1e-12)
+    assert encoder.means["b"] == 5.0 and encoder.scales["b"] is None
+    invoices, vendors = make_invoices(*[{"amount": 10.0 * n, "department": "IT" if n % 3 else "HR"} for n in range(30)]), make_vendors({"vendor_id": "V1"})
+    whole = jobs.prepared(invoices, vendors)
+    hot = jobs.prepared(invoices, vendors, metadata=False, numbers=False)
+    assert hot.encoded.columns == ["invoice_id", *whole.encoder.categorical]
+    pairs = [sorted(map(tuple, encode.onehot_rows(d.encoded, d.encoder).collect())) for d in (whole, hot)]
+    assert pairs[0] == pairs[1]
+    numbers = jobs.prepared(invoices, vendors, metadata=False, categories=False)
+    assert numbers.encoder.numeric == whole.encoder.numeric and numbers.encoder.scales == pytest.approx(whole.encoder.scales)
