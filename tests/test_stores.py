@@ -93,3 +93,11 @@ def test_sweep_ranks_all_settings(spark):
     alone = {r["invoice_id"]: round(r["raw_score"], 6) for r in iforest.with_scores(encoded, forest).select("invoice_id", "raw_score").collect()}
     raised = {i for i, s in alone.items() if s < best["threshold"]}
     assert len(raised) == best["tp"] + best["fp"] and sum(i < "I006" for i in raised) == best["tp"]
+
+
+def test_a_partition_holds_one_bucket(spark, tmp_path):
+    vendors = spark.range(300).select(F.format_string("V%06d", "id").alias("vendor_id"))
+    placed = mart_store._bucketed(mart_store._by_bucket(vendors, 8, 9 * mart_store.TASK_ROWS), 8)
+    assert placed.rdd.getNumPartitions() == 16
+    kinds = placed.groupBy(F.spark_partition_id()).agg(F.count_distinct("bucket").alias("n")).collect()
+    assert {r["n"] for r in kinds} == {1}
