@@ -101,3 +101,10 @@ def test_a_partition_holds_one_bucket(spark, tmp_path):
     assert placed.rdd.getNumPartitions() == 16
     kinds = placed.groupBy(F.spark_partition_id()).agg(F.count_distinct("bucket").alias("n")).collect()
     assert {r["n"] for r in kinds} == {1}
+
+
+def test_a_store_of_heavy_vendors_has_few_files(spark, staged, tmp_path):
+    folder = str(tmp_path / "store")
+    mart_store.create(staged, folder, buckets=4, max_group_rows=2)
+    assert comparable(mart_store.read(spark, folder)) == comparable(features.invoice_features(staged))
+    assert len(spark.read.parquet(f"{folder}/history").inputFiles()) <= 16
