@@ -71,3 +71,14 @@ def test_small_capacity_and_empty_table(documents, prose, tokenizer):
     rows = [(n, prose(n, n)) for n in range(20)]
     checked(packing.pack(documents(rows), PATH, capacity=64).collect(), rows, tokenizer, 64)
     assert packing.pack(documents([]), PATH).count() == 0
+
+
+def test_words_that_occur_once_are_not_kept(tokenizer):
+    cache = packing._word_cache(PATH)
+    for part in range(40):
+        words = [f"only{part}x{n}" for n in range(500)] + ["a\0b", "often", f"pair{part // 2}"]
+        ids, sizes = cache.gather(cache.lookup(words))
+        found = np.split(ids, np.cumsum(sizes)[:-1])
+        assert [f.tolist() for f in found] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert {"often", "a\0b", *(f"pair{n}" for n in range(20))} <= cache._index.keys()
+    assert len(cache._index) < 22 + 500  # 20,022 distinct words; collisions of marks keep a few of the others

@@ -41,6 +41,8 @@ CAPACITY = 2048
 END = 1
 SLACK = 1 / 128
 JOINED = 2_000
+#: Words a worker keeps; workers of earlier stages run the later ones, so what they hold adds up.
+KEPT_WORDS = 300_000
 
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,29 +62,25 @@ def _word_cache(path: str) -> WordCache:
     mark = tokenizer.encode("\0", add_special_tokens=False).ids
 
     def alone(word: str) -> np.ndarray:
-        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, np.int32)
+        return np.array(tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids, np.int32)
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Many words in one call, with a NUL between them; words with a NUL of their own go alone."""
-        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        plain = [i for i, w in enumerate(words) if "\0" not in w]
-        for i in range(len(words)):
-            if "\0" in words[i]:
-                found[i] = alone(words[i])
-        for start in range(0, len(plain), JOINED):
-            part = plain[start : start + JOINED]
-            ids = alone(" \0 ".join(words[i] for i in part))
+        """Many words in one call, with a NUL between them; words beside one with a NUL of its own go alone."""
+        found, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for start in range(0, len(words), JOINED):
+            part = words[start : start + JOINED]
+            ids = alone(" \0 ".join(part))
             cuts = np.flatnonzero(ids == mark[0])
-            if len(mark) != 1 or len(cuts) != len(part) - 1:
-                pieces = [alone(words[i]) for i in part]
+            if len(mark) != 1 or len(cuts) != len(part) - 1 or any("\0" in w for w in part):
+                pieces = [alone(w) for w in part]
+                found += pieces
+                sizes.append(np.array([len(p) for p in pieces], np.int64))
             else:
-                pieces = np.split(ids, cuts)
-                pieces[1:] = [p[1:] for p in pieces[1:]]
-            for i, piece in zip(part, pieces, strict=True):
-                found[i] = piece
-        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+                found.append(np.delete(ids, cuts))
+                sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+        return np.concatenate(found), np.concatenate(sizes)
 
-    return WordCache(encode)
+    return WordCache(encode, KEPT_WORDS, from_second=True)
 
 
 def word_cache(path: str) -> WordCache:

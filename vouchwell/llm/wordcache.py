@@ -1,4 +1,9 @@
-"""Token ids of many texts from a bounded cache of the ids of their words."""
+"""Token ids of many texts from a bounded cache of the ids of their words.
+
+Most distinct words of a corpus occur once, so a cache may keep a word from its second lookup on only:
+less memory, for a second encoding of the words it keeps. Which words were seen before is told by a
+table of marks at their hashes, where a collision keeps a word early.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_WORDS = 1_000_000
+#: Places for marks, a byte each; with half as many marks set they are wiped.
+MARKED = 1 << 22
 #: A trailing mark after a letter is a word of its own for every tokenizer used here.
 MARKS = frozenset(".,;:!?")
 
@@ -18,12 +25,13 @@ Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]  # words -> (ids e
 class WordCache:
     """Ids of words; a full cache starts anew, which costs time and changes no result."""
 
-    def __init__(self, encode: Encode, most: int = CACHE_WORDS) -> None:
-        self._encode, self._most = encode, most
+    def __init__(self, encode: Encode, most: int = CACHE_WORDS, from_second: bool = False) -> None:
+        self._encode, self._most, self._from_second = encode, most, from_second
         self._clear()
 
     def _clear(self) -> None:
         self._index: dict[str, int] = {}
+        self._seen, self._marks = np.zeros(MARKED if self._from_second else 0, bool), 0
         self._ids = np.zeros(1 << 16, np.int32)
         self._starts, self._sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self._used = 0
@@ -36,13 +44,30 @@ class WordCache:
         grown[: len(values)] = values
         return grown
 
+    def _again(self, words: list[str]) -> np.ndarray:
+        """Which of the distinct words to keep: those that a lookup had before. Marks them all."""
+        if not self._from_second:
+            return np.ones(len(words), bool)
+        if self._marks > MARKED // 2:
+            self._seen[:] = False
+            self._marks = 0
+        at = np.fromiter(map(hash, words), np.int64, len(words)) & (MARKED - 1)
+        again = self._seen[at]
+        self._seen[at] = True
+        self._marks += len(words) - int(again.sum())
+        return again
+
     def lookup(self, words: list[str]) -> np.ndarray:
         """Places of the words, valid until the next lookup."""
         if len(self._index) > self._most:
             self._clear()
         index = self._index
         new = list(dict.fromkeys(w for w in words if w not in index))
+        passing: dict[str, int] = {}
         if new:
+            again = self._again(new)
+            kept = int(again.sum())
+            new = [new[i] for i in np.argsort(~again, kind="stable")]  # words to keep first, the others behind them until the next lookup
             ids, sizes = self._encode(new)
             n, used = len(index), self._used
             self._ids = self._room(self._ids, used + len(ids))
@@ -50,9 +75,10 @@ class WordCache:
             self._starts, self._sizes = self._room(self._starts, n + len(new)), self._room(self._sizes, n + len(new))
             self._starts[n : n + len(new)] = used + np.cumsum(sizes) - sizes
             self._sizes[n : n + len(new)] = sizes
-            self._used = used + len(ids)
-            index.update(zip(new, range(n, n + len(new)), strict=True))
-        return np.fromiter((index[w] for w in words), np.int64, len(words))
+            self._used = used + int(sizes[:kept].sum())
+            index.update(zip(new[:kept], range(n, n + kept), strict=True))
+            passing = dict(zip(new[kept:], range(n + kept, n + len(new)), strict=True))
+        return np.fromiter((passing[w] if w in passing else index[w] for w in words), np.int64, len(words))
 
     def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, ids per place)."""
