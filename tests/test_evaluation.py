@@ -8,6 +8,7 @@ from vouchwell import schemas
 from vouchwell.operators import evaluate, inject, quality
 from vouchwell.plans import jobs
 from vouchwell.sources import files
+from vouchwell.storage import materialize
 
 
 def counts(spark, tn, fp, fn, tp):
@@ -70,6 +71,19 @@ def test_injection_numbers_copies_and_keeps_the_rest(spark, make_invoices, tmp_p
     assert inject.label_parameters(again).filter(F.col("same_vendor") & (F.col("amount_delta") == 0.01)).count() == 7
 
 
+@pytest.mark.parametrize("id_scheme", ["prefix", "sequence"])
+def test_injection_does_not_sort_all_invoices(make_invoices, monkeypatch, id_scheme):
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, name)
+
+    monkeypatch.setattr(inject, "materialize", written)
+    inject.inject_duplicates(make_invoices(*[{}] * 9), n_duplicates=3, id_scheme=id_scheme)
+    assert not any("rangepartitioning" in plan for plan in plans)
+
+
 def test_both_sided_vote_finds_every_injected_copy(make_invoices, make_vendors):
     invoices = make_invoices(
         *[{"vendor_id": f"V{n % 5}", "invoice_date": dt.date(2025, 1, 1) + dt.timedelta(days=n), "description": f"item {n}"}
