@@ -102,6 +102,21 @@ def test_saved_rule_tables_give_the_same_vote(spark, make_invoices, make_vendors
     assert sorted(saved.collect()) == sorted(jobs.rule_vote(invoices, vendors).collect())
 
 
+def test_saved_rule_tables_read_their_source_three_times_at_most(spark, make_invoices, make_vendors, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    made = make_invoices(*[{"vendor_id": f"V{n % 3}", "amount": 100.0 + n} for n in range(12)])
+    invoices = made.mapInArrow(counted, made.schema)
+    columns = jobs.save_rule_results(invoices, make_vendors({"vendor_id": "V0"}), str(tmp_path))
+    assert jobs.vote_from_results(spark, columns, str(tmp_path)).count() == 12
+    assert 0 < reads.value <= 36  # the rules' columns; the candidates and their counts for the threshold table
+
+
 def test_quality_report_counts_violations(make_invoices):
     bad = {
         "invoice_id": "INV000001",
