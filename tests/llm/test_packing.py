@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from vouchwell.llm import packing
+from vouchwell.llm.wordcache import cut_mark, cut_marks
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -82,3 +83,13 @@ def test_words_that_occur_once_are_not_kept(tokenizer):
         assert [f.tolist() for f in found] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
     assert {"often", "a\0b", *(f"pair{n}" for n in range(20))} <= cache._index.keys()
     assert len(cache._index) < 22 + 500  # 20,022 distinct words; collisions of marks keep a few of the others
+
+
+def test_words_are_held_in_one_array_and_cut_as_each_alone():
+    words = ["", ".", "a.", "ab,", "é!", "9.", "日;", "a\0.", "x.,", "don't?", "ﬁ:", "٣!", "Ab", "a\n."]
+    bare, marks = cut_marks(pa.array(words))
+    assert list(zip(bare.to_pylist(), marks.to_pylist(), strict=True)) == [cut_mark(w) for w in words]
+    table = packing._word_cache(PATH)
+    table._most = 3
+    first = [table.gather(table.lookup(pa.array(words)))[0].tolist() for _ in range(4)]  # kept, full, anew
+    assert first[1:] == first[:-1] and isinstance(table._words, pa.Array)

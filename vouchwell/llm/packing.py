@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vouchwell.llm.common import per_worker, slices, text_of
-from vouchwell.llm.wordcache import WordCache, coded, cut_mark
+from vouchwell.llm.wordcache import WordTable, cut_marks
 from vouchwell.storage import materialize
 
 CAPACITY = 2048
@@ -57,7 +57,7 @@ def _special_tokens(path: str) -> list[str]:
     return sorted({token["content"].lower() for token in found})
 
 
-def _word_cache(path: str) -> WordCache:
+def _word_cache(path: str) -> WordTable:
     tokenizer = _tokenizer(path)
     mark = tokenizer.encode("\0", add_special_tokens=False).ids
 
@@ -80,10 +80,10 @@ def _word_cache(path: str) -> WordCache:
                 sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
         return np.concatenate(found), np.concatenate(sizes)
 
-    return WordCache(encode, KEPT_WORDS, from_second=True)
+    return WordTable(encode, KEPT_WORDS)
 
 
-def word_cache(path: str) -> WordCache:
+def word_cache(path: str) -> WordTable:
     """One cache a worker process and tokenizer file."""
     return per_worker(f"words of {path}", lambda: _word_cache(path))
 
@@ -96,10 +96,10 @@ def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
     for token in per_worker(f"special tokens of {path}", lambda: _special_tokens(path)):
         special |= pc.match_substring(lower, token).to_numpy(zero_copy_only=False)
     split = pc.ascii_split_whitespace(lower)
-    codes, chunks = coded(split.flatten())
-    parts = [cut_mark(w) for w in chunks]
-    places = cache.lookup([w for pair in parts for w in pair]).reshape(-1, 2)
-    ids, sizes = cache.gather(places[codes].ravel())
+    chunks = pc.dictionary_encode(split.flatten())
+    words = pc.dictionary_encode(pa.concat_arrays(cut_marks(chunks.dictionary)))
+    places = cache.lookup(words.dictionary)[words.indices.to_numpy()].reshape(2, -1)
+    ids, sizes = cache.gather(places[:, chunks.indices.to_numpy()].T.ravel())
     per_chunk = np.concatenate([[0], np.cumsum(sizes.reshape(-1, 2).sum(axis=1))])
     ends = per_chunk[split.offsets.to_numpy() - split.offsets[0].as_py()]
     found = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
