@@ -130,6 +130,20 @@ def test_boxes_keep_rows_from_far_pieces(spark):
     assert found.groupby("invoice_id")["neighbor"].agg(list).to_dict() == expected
 
 
+def test_a_small_piece_holds_few_pairs():
+    """Pairs found and not yet ranked grow with a piece's rows, not with the block that it is matched with."""
+    rng = np.random.default_rng(8)
+    x, c, ids = rng.normal(size=(4000, 2)), np.zeros((4000, 1), np.int64), np.array([f"I{n:04d}" for n in range(4000)], object)
+    piece = lof._Queries(5)
+    piece.add(ids[:16], x[:16], c[:16], np.full(16, 100.0))
+    piece.close()
+    piece.offer(ids, x, c)
+    assert sum(len(found) for found, _, _ in piece.found) <= lof.PENDING * 5 * 16
+    got = piece.result().to_pandas().sort_values(["invoice_id", "rank"])
+    away = np.linalg.norm(x[:16, None] - x[None], axis=2)
+    assert got["neighbor"].tolist() == [n for row in away for n in ids[row.argsort()[1:6]]]
+
+
 def test_lof_flags_outliers(spark):
     encoded, encoder, outliers = blob(spark)
     predicted = lof.predictions(encoded, encoder)
