@@ -93,12 +93,12 @@ def similar_texts(
     if not 0 < min_similarity <= 100:
         raise ValueError("min_similarity is a score above 0 and up to 100")
     sized = materialize(
-        texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len")), "sized_texts"
+        texts.filter(F.length("text") > 0).select(*within, "text", F.length("text").alias("len")), "sized_texts", large=True
     )
     grams, pieces = text_signatures(sized, min_similarity, within)
     keys = [*within, "class", "bucket", "piece"]
     if hot_rows is not None:
-        pieces, grams = materialize(pieces, "text_pieces"), materialize(grams, "text_grams")
+        pieces, grams = materialize(pieces, "text_pieces", large=True), materialize(grams, "text_grams", large=True)
         pieces, grams, keys = _spread_hot_groups(pieces, grams, keys, hot_rows, ("short_text", "long_text"))
     length, short_len = F.length("long_text"), F.length("short_text")
     a, b = F.col("long_text"), F.col("short_text")
@@ -108,7 +108,7 @@ def similar_texts(
     different = (a != b) & ((gap > 0) | ((gap == 0) & (a < b))) & (gap <= allowed)
     candidates = pieces.join(grams, keys).filter(different & near).select(*within, "long_text", "short_text").distinct()
     if within:
-        candidates = materialize(candidates, "text_candidates")
+        candidates = materialize(candidates, "text_candidates", large=True)
     # Edit distance never exceeds the insertions and deletions needed, and is cheap.
     scored = (
         candidates.select("long_text", "short_text")
@@ -118,7 +118,7 @@ def similar_texts(
         .filter(F.col("similarity") >= min_similarity)
     )
     if within:
-        scored = candidates.join(materialize(scored, "scored_texts"), ["long_text", "short_text"])
+        scored = candidates.join(materialize(scored, "scored_texts", large=True), ["long_text", "short_text"])
     return scored.select(*within, a.alias("text"), b.alias("other_text"), "similarity").union(
         scored.select(*within, b.alias("text"), a.alias("other_text"), "similarity")
     )
@@ -184,12 +184,12 @@ def _partners(rows: DataFrame, min_similarity: int) -> DataFrame:
     A catalogue of texts that vendors share is scored once for all of them, where all pairs of
     its texts are few against what the vendors use; so neither way tries more than it has to.
     """
-    texts = materialize(rows.select("text").distinct(), "texts")
+    texts = materialize(rows.select("text").distinct(), "texts", large=True)
     used = rows.agg(F.approx_count_distinct(F.struct("vendor_id", "text"))).first()[0]  # only chooses the way
     if texts.count() ** 2 <= PAIRS_PER_TEXT * used:
-        return materialize(similar_texts(texts, min_similarity, hot_rows=None), "similar_texts")
-    own_texts = materialize(rows.select("vendor_id", "text").distinct(), "vendor_texts")
-    return materialize(similar_texts(own_texts, min_similarity, ("vendor_id",)), "similar_texts")
+        return materialize(similar_texts(texts, min_similarity, hot_rows=None), "similar_texts", large=True)
+    own_texts = materialize(rows.select("vendor_id", "text").distinct(), "vendor_texts", large=True)
+    return materialize(similar_texts(own_texts, min_similarity, ("vendor_id",)), "similar_texts", large=True)
 
 
 def _with_texts(rows: DataFrame, partners: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def _dated_rows(invoices: DataFrame) -> DataFrame:
 
 def _dated(invoices: DataFrame) -> DataFrame:
     """As ``_dated_rows``, written once because several steps read them."""
-    return materialize(_dated_rows(invoices), "dated_invoices")
+    return materialize(_dated_rows(invoices), "dated_invoices", large=True)
 
 
 def duplicate_pairs(
@@ -285,7 +285,7 @@ def _spread_hot_groups(
 
     pairs = F.col("n_earlier").cast("double") * F.col("n_later")
     hot = sizes(earlier, "n_earlier").join(sizes(later, "n_later"), keys).filter(pairs > float(hot_rows) ** 2)
-    hot = materialize(hot.select(*keys, F.ceil(F.sqrt(pairs) / hot_rows).cast("int").alias("parts")), "hot_groups")
+    hot = materialize(hot.select(*keys, F.ceil(F.sqrt(pairs) / hot_rows).cast("int").alias("parts")), "hot_groups", large=True)
     if hot.isEmpty():
         return earlier, later, keys
     hot = broadcast_if_small(hot)
