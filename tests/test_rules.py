@@ -284,3 +284,13 @@ def test_flags_move_the_invoices_once(spark, make_invoices, monkeypatch):
     plan = both._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("== Initial Plan ==")[-1]
     assert initial.count("hashpartitioning(vendor_id") == 2  # invoices, and days of descriptions with similar ones
+
+
+def test_pair_report_lists_later_invoices_twice_near_edges_only(make_invoices, monkeypatch):
+    sides, spread = [], duplicates._spread_hot_groups
+    monkeypatch.setattr(duplicates, "_spread_hot_groups", lambda *given: sides.append(given[:2]) or spread(*given))
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=n) for n in range(160)]
+    pairs = duplicates.duplicate_pairs(make_invoices(*[{"invoice_date": day} for day in days])).collect()
+    assert len({(p.invoice_id, p.matched_invoice) for p in pairs}) == len(pairs) == 7 * 153 + 21
+    (earlier, later), = sides
+    assert earlier.count() == 160 and later.count() == 160 + 10 * 7

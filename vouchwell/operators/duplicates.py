@@ -30,6 +30,8 @@ AMOUNT_TOLERANCE = 1.0
 MIN_SIMILARITY = 90
 HOT_PAIR_ROWS = 30_000
 CLASS_STEP = 1.1
+#: Date windows in a bucket of the pair report: more list fewer rows twice, and try more pairs.
+BUCKET_WINDOWS = 2
 #: Date windows in a stretch of days: a group of one vendor and description is cut into such stretches.
 STRETCH_WINDOWS = 32
 #: Pairs of texts that may be tried for each text of a vendor without asking which vendors share them.
@@ -222,12 +224,15 @@ def duplicate_pairs(
 ) -> DataFrame:
     """The pair report: an invoice, and a later one of its vendor that resembles it.
 
-    With buckets one day wider than the window, a pair lies in the same or in adjacent
-    buckets; the later side is listed under both, so every pair meets exactly once.
+    With buckets wider than the window, a pair lies in the same or in adjacent buckets; the
+    later side is also listed in the bucket before when that is within the window, so every
+    pair meets exactly once.
     With ``written`` the invoices are a written table, which is read again rather than copied.
     """
     rows = _dated_rows(invoices) if written else _dated(invoices)
-    bucket = F.floor(F.unix_date("invoice_date") / (date_window + 1)).cast("int")
+    span = (date_window + 1) * BUCKET_WINDOWS
+    bucket = F.floor(F.unix_date("invoice_date") / span).cast("int")
+    earliest = F.floor((F.unix_date("invoice_date") - date_window) / span).cast("int")
     earlier = _with_texts(rows, _partners(rows, min_similarity)).select(
         "vendor_id",
         F.col("other_text").alias("text"),
@@ -240,7 +245,7 @@ def duplicate_pairs(
     later = rows.select(
         "vendor_id",
         "text",
-        F.explode(F.array(bucket, bucket - 1)).alias("bucket"),
+        F.explode(F.array_distinct(F.array(bucket, earliest))).alias("bucket"),
         F.col("invoice_id").alias("matched_invoice"),
         F.col("invoice_date").alias("matched_date"),
         F.col("amount").alias("matched_amount"),
