@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from vouchwell.operators import autoencoder, encode, iforest, lof
+from vouchwell.operators import autoencoder, encode, iforest, lof, sweep
 from vouchwell.operators.quantiles import exact_quantiles
 from vouchwell.plans import jobs
 
@@ -325,6 +326,16 @@ def test_forest_walk_equals_a_walk_row_by_row(monkeypatch):
     assert iforest.path_totals(x, 3, arrays, [5, 12]).tolist() == expected
 
 
+def test_forest_points_are_looked_up_inside_arrow():
+    texts = pa.array(["b", None, "a", "new", "b"])
+    batch = (pa.array([1.5, None, -2.0, 0.0, 3.0]), pa.array([1, 2, 3, 4, None], pa.int64()), texts, texts)
+    x = iforest.points(batch, 2, [{"a": 0, "b": 1}, {}])
+    assert np.array_equal(x[:, 0], [1.5, np.nan, -2.0, 0.0, 3.0], equal_nan=True)
+    assert np.array_equal(x[:, 1], [1, 2, 3, 4, np.nan], equal_nan=True)
+    assert x[:, 2].tolist() == [1, -1, 0, -1, 1] and x[:, 3].tolist() == [-1] * 5
+    assert iforest.points(tuple(c[:0] for c in batch), 2, [{}, {}]).shape == (0, 4)
+
+
 def test_encoder_statistics_and_narrow_marts(spark, make_invoices, make_vendors):
     values = [1e9 + n % 7 for n in range(40)] + [None] * 3
     df = spark.createDataFrame([(f"I{n}", v, 5.0, None) for n, v in enumerate(values)], "invoice_id string, a double, b double, s string")
@@ -340,3 +351,21 @@ def test_encoder_statistics_and_narrow_marts(spark, make_invoices, make_vendors)
     assert pairs[0] == pairs[1]
     numbers = jobs.prepared(invoices, vendors, metadata=False, categories=False)
     assert numbers.encoder.numeric == whole.encoder.numeric and numbers.encoder.scales == pytest.approx(whole.encoder.scales)
+
+
+def test_sweep_scores_all_forests_in_one_pass(spark, monkeypatch):
+    rows = [(f"I{n:03d}", float(n % 17), "even" if n % 2 else "odd") for n in range(120)]
+    encoded = spark.createDataFrame(rows, "invoice_id string, a double, s string")
+    encoder = encode.Encoder(["a"], ["s"], {}, {"a": 0.0}, {"a": 1.0})
+    labels = encoded.limit(3).select("invoice_id", F.lit(1).alias("fraud_label"), F.lit("x").alias("fraud_type"))
+    written, plain = [], sweep.materialize
+    monkeypatch.setattr(sweep, "materialize", lambda df, name, **given: written.append(df) or plain(df, name, **given))
+    found = sweep.sweep(encoded, encoder, labels, [2, 4], [16, 32], [0.1]).collect()
+    assert len(found) == 4 and {(r.sample_rows, r.n_trees) for r in found} == {(16, 2), (16, 4), (32, 2), (32, 4)}
+    (judged,) = written
+    alone = [iforest.with_prefix_scores(encoded, iforest.fit_forest(encoded, encoder, 4, n), [2, 4]) for n in (16, 32)]
+    expected = {r.invoice_id: [round(v, 5) for v in r.raw_scores] for r in alone[0].collect()}
+    for r in alone[1].collect():
+        expected[r.invoice_id] += [round(v, 5) for v in r.raw_scores]
+    for r in judged.collect():
+        assert [r[f"score_{k}"] for k in range(4)] == pytest.approx(expected[r.invoice_id], abs=2e-5)
